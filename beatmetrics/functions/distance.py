@@ -27,7 +27,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     h = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(
         F.radians(lat2)
     ) * half_dlon * half_dlon
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    # Rounding may lift opposite points above 1; least() would also lift a null.
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def _vincenty():

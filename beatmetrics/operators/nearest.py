@@ -23,6 +23,8 @@ of them needs either table to be small.
 from __future__ import annotations
 
 import math
+import operator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,9 +183,28 @@ def nearest_sites_per_row(
     joined = points.join(found, ["lat", "lon"]).select(
         *points.columns, *sites.columns, "distance_km"
     )
-    if key is None:
-        return joined
-    others = [F.col(c) for c in joined.columns if c not in key]
-    return top_per_group(
-        joined, key, [F.col("distance_km").asc_nulls_last()], 1, ties, others
-    ).drop("position")
+    return joined if key is None else keep_nearest(joined, key, ties)
+
+
+def keep_nearest(pairs: DataFrame, key: list[str], ties: str = "all") -> DataFrame:
+    """The nearest pairs of each key, as ``rank() = 1`` over the key would keep.
+
+    One key may hold a large part of all rows, so there is no window: the
+    minimum is an aggregate with partial results, and with ``ties='all'`` it is
+    joined back, where Spark can split a hot key.
+    """
+    if ties == "first":
+        others = [c for c in pairs.columns if c not in key]
+        distance = F.coalesce("distance_km", F.lit(float("inf")))
+        first = F.min(F.struct(distance, F.struct(*others).alias("_pair"))).alias("_first")
+        return pairs.groupBy(*key).agg(first).select(*key, "_first._pair.*").select(pairs.columns)
+    names = [f"_key{i}" for i in range(len(key))]
+    best = pairs.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names)]).agg(
+        F.min("distance_km").alias("_best")
+    )
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)]
+    return (
+        pairs.join(best, reduce(operator.and_, same))
+        .where(F.col("distance_km").eqNullSafe(F.col("_best")))
+        .select(pairs.columns)
+    )
