@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from beatmetrics.functions.distance import HAVERSINE_ERROR, distance_km
 from beatmetrics.operators.selection import top_per_group
 
-_AXES = ("cx", "cy", "cz")
+# A point's own finest cube, and the cube around it on the column "level".
+_OWN = ["_own_x", "_own_y", "_own_z"]
+_CUBE = ["_level", "_x", "_y", "_z"]
 
 
 def _xyz(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
@@ -40,22 +42,23 @@ def _xyz(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
     return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
 
 
-def _cube(lat: Column, lon: Column, level: int) -> list[Column]:
+def _own(lat: Column, lon: Column, level: int) -> list[Column]:
     # The last cube of an axis is closed, so that level 0 is one cube for all.
     return [
-        F.least(F.floor((v + 1.0) * 2.0 ** (level - 1)).cast("int"), F.lit(2**level - 1)).alias(axis)
-        for v, axis in zip(_xyz(lat, lon), _AXES)
+        F.least(F.floor((v + 1.0) * 2.0 ** (level - 1)).cast("int"), F.lit(2**level - 1)).alias(name)
+        for v, name in zip(_xyz(lat, lon), _OWN)
     ]
 
 
 def _levels(finest: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(finest))).alias("level")
+    return F.explode(F.sequence(F.lit(0), F.lit(finest))).alias("_level")
 
 
-def _cube_at_level(finest: int, prefix: str = "") -> list[Column]:
-    """The cube of the column ``level`` that holds a finest cube."""
+def _around_own(finest: int) -> list[Column]:
+    """The cube of the column ``_level`` that holds the own cube."""
     return [
-        F.expr(f"shiftright({prefix}{axis}, {finest} - level)").alias(axis) for axis in _AXES
+        F.expr(f"shiftright({own}, {finest} - _level)").alias(name)
+        for own, name in zip(_OWN, _CUBE[1:])
     ]
 
 
@@ -71,51 +74,53 @@ def candidate_sites(
     slack: float,
 ) -> DataFrame:
     """For each occupied cube of the points, all sites that can be nearest to it."""
-    cubes = points.select(*_cube(F.col("lat"), F.col("lon"), finest)).distinct()
+    cubes = points.select(*_own(F.col("lat"), F.col("lon"), finest)).distinct()
 
     places = (
         sites.select(
             F.struct(*sites.columns).alias("_site"),
-            *_cube(F.col("site_lat"), F.col("site_lon"), finest),
+            *_own(F.col("site_lat"), F.col("site_lon"), finest),
         )
-        .select("_site", *_AXES, _levels(finest))
-        .select("_site", "level", *_cube_at_level(finest))
+        .select("_site", *_OWN, _levels(finest))
+        .select("_site", "_level", *_around_own(finest))
     )
 
-    holding = places.select("level", *_AXES).distinct()
+    holding = places.select(*_CUBE).distinct()
     reach = (
-        cubes.select(F.struct(*_AXES).alias("_cube"), *_AXES, _levels(finest))
-        .select("_cube", "level", *_cube_at_level(finest))
-        .join(holding, ["level", *_AXES])
-        .groupBy("_cube")
-        .agg(F.greatest(F.max("level") - 1, F.lit(0)).alias("level"))
+        cubes.select(*_OWN, _levels(finest))
+        .select(*_OWN, "_level", *_around_own(finest))
+        .join(holding, _CUBE)
+        .groupBy(*_OWN)
+        .agg(F.greatest(F.max("_level") - 1, F.lit(0)).alias("_level"))
     )
 
     # The 27 cubes around the own one on the chosen level.
-    steps = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    around = reach.select("_cube", "level", *_cube_at_level(finest, "_cube."))
-    for axis in _AXES:
-        around = around.withColumn("step", F.explode(steps)).withColumn(
-            axis, F.col(axis) + F.col("step")
-        )
+    around = reach.select(*_OWN, "_level", F.explode(F.sequence(F.lit(0), F.lit(26))).alias("_n"))
+    steps = ("_n % 3", "_n div 3 % 3", "_n div 9")
+    around = around.select(
+        *_OWN,
+        "_level",
+        *[
+            F.expr(f"cast(shiftright({own}, {finest} - _level) + {step} - 1 AS int)").alias(name)
+            for own, step, name in zip(_OWN, steps, _CUBE[1:])
+        ],
+    )
 
-    # Chord from the centre of the cube to the site.
+    # Chord from the centre of the own cube to the site.
     edge = 2.0 ** (1 - finest)
     site_xyz = _xyz(F.col("_site.site_lat"), F.col("_site.site_lon"))
-    dx, dy, dz = (
-        (F.col(f"_cube.{axis}") + 0.5) * edge - 1.0 - v for axis, v in zip(_AXES, site_xyz)
-    )
-    near = around.join(places, ["level", *_AXES]).select(
-        "_cube", "_site", F.sqrt(dx * dx + dy * dy + dz * dz).alias("chord")
+    dx, dy, dz = ((F.col(own) + 0.5) * edge - 1.0 - v for own, v in zip(_OWN, site_xyz))
+    near = around.join(places, _CUBE).select(
+        *_OWN, "_site", F.sqrt(dx * dx + dy * dy + dz * dz).alias("_chord")
     )
 
     # Every place of the cube is within half a diagonal of its centre.
     radius = math.sqrt(3) / 2 * edge
-    best = near.groupBy("_cube").agg(F.min("chord").alias("best"))
+    best = near.groupBy(*_OWN).agg(F.min("_chord").alias("_best"))
     return (
-        near.join(best, "_cube")
-        .where(F.col("chord") <= (F.col("best") + radius) * slack + radius)
-        .select("_cube", "_site")
+        near.join(best, _OWN)
+        .where(F.col("_chord") <= (F.col("_best") + radius) * slack + radius)
+        .select(*_OWN, "_site")
     )
 
 
@@ -151,10 +156,9 @@ def nearest_sites(
     slack = (1 + error) / (1 - error) * (1 + 1e-9)
 
     candidates = candidate_sites(points, sites, finest_level, slack)
-    cube = F.struct(*_cube(F.col("lat"), F.col("lon"), finest_level)).alias("_cube")
     pairs = (
-        points.select("*", cube)
-        .join(candidates, "_cube")
+        points.select("*", *_own(F.col("lat"), F.col("lon"), finest_level))
+        .join(candidates, _OWN)
         .select(*points.columns, "_site.*")
         .withColumn("distance_km", distance_km("lat", "lon", "site_lat", "site_lon", model))
     )
