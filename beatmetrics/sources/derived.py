@@ -6,6 +6,7 @@ and a station.  Nulls, sentinels and zero locations come from the keys.  Both
 sides of the exact (lat, lon) join use the same arithmetic on the same key, so
 the doubles agree bit for bit.  The moduli are prime: places differ for the
 first 100 million customers and spread evenly over the same city at any scale.
+No place lies exactly between two stations, where rounding would pick one.
 
 The statements are plain SQL that other engines read as well; only the name of
 the text type is filled in.
@@ -55,7 +56,7 @@ VIEWS = {
     "stations": """
         SELECT n_nationkey + 1 AS prec, n_name AS division,
           33.72e0 + 0.11e0 * (n_nationkey % 5) + 0.003e0 AS lat,
-          -118.65e0 + 0.1e0 * floor(n_nationkey / 5) + 0.002e0 AS lon
+          -118.65e0 + 0.1e0 * floor(n_nationkey / 5) + 0.00213e0 AS lon
         FROM nation""",
     "places": f"""
         SELECT c_custkey AS place_id, {_lat("c_custkey")} AS lat, {_lon("c_custkey")} AS lon
