@@ -26,7 +26,7 @@ import math
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatmetrics.functions.distance import HAVERSINE_ERROR, distance_km
@@ -37,34 +37,40 @@ _OWN = ["_own_x", "_own_y", "_own_z"]
 _CUBE = ["_level", "_x", "_y", "_z"]
 
 
-def _xyz(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
-    phi, lam = F.radians(lat), F.radians(lon)
-    return F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
+def _xyz(lat: str, lon: str) -> tuple[str, str, str]:
+    return (
+        f"cos(radians({lat})) * cos(radians({lon}))",
+        f"cos(radians({lat})) * sin(radians({lon}))",
+        f"sin(radians({lat}))",
+    )
 
 
-def _own(lat: Column, lon: Column, level: int) -> list[Column]:
+def _own(lat: str, lon: str, level: int) -> list[str]:
     # The last cube of an axis is closed, so that level 0 is one cube for all.
     return [
-        F.least(F.floor((v + 1.0) * 2.0 ** (level - 1)).cast("int"), F.lit(2**level - 1)).alias(name)
-        for v, name in zip(_xyz(lat, lon), _OWN)
+        f"least(cast(floor(({v} + 1e0) * {2 ** level}e0 / 2e0) AS int), {2 ** level - 1}) AS {own}"
+        for v, own in zip(_xyz(lat, lon), _OWN)
     ]
 
 
-def _levels(finest: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(finest))).alias("_level")
+def _levels(finest: int) -> str:
+    return f"explode(sequence(0, {finest})) AS _level"
 
 
-def _around_own(finest: int) -> list[Column]:
+def _around_own(finest: int) -> list[str]:
     """The cube of the column ``_level`` that holds the own cube."""
     return [
-        F.expr(f"shiftright({own}, {finest} - _level)").alias(name)
-        for own, name in zip(_OWN, _CUBE[1:])
+        f"shiftright({own}, {finest} - _level) AS {name}" for own, name in zip(_OWN, _CUBE[1:])
     ]
 
 
 def finest_level_for(site_count: int) -> int:
-    """Cubes of about 1.5 km for a city's stations, finer ones for more sites."""
-    return min(24, 10 + math.ceil(math.log2(max(site_count, 2)) / 2))
+    """Cubes of 800 m for up to some ten thousand sites, finer ones for more.
+
+    A cube should be small against the space between sites, so that few of them
+    compete in it, but there should not be many more cubes than points.
+    """
+    return min(24, max(14, 8 + int(math.log2(max(site_count, 1)) / 2)))
 
 
 def candidate_sites(
@@ -74,44 +80,42 @@ def candidate_sites(
     slack: float,
 ) -> DataFrame:
     """For each occupied cube of the points, all sites that can be nearest to it."""
-    cubes = points.select(*_own(F.col("lat"), F.col("lon"), finest)).distinct()
+    cubes = points.selectExpr(*_own("lat", "lon", finest)).distinct()
 
     places = (
-        sites.select(
-            F.struct(*sites.columns).alias("_site"),
-            *_own(F.col("site_lat"), F.col("site_lon"), finest),
-        )
-        .select("_site", *_OWN, _levels(finest))
-        .select("_site", "_level", *_around_own(finest))
+        sites.select(F.struct(*sites.columns).alias("_site"))
+        .selectExpr("_site", *_own("_site.site_lat", "_site.site_lon", finest), _levels(finest))
+        .selectExpr("_site", "_level", *_around_own(finest))
     )
 
     holding = places.select(*_CUBE).distinct()
     reach = (
-        cubes.select(*_OWN, _levels(finest))
-        .select(*_OWN, "_level", *_around_own(finest))
+        cubes.selectExpr(*_OWN, _levels(finest))
+        .selectExpr(*_OWN, "_level", *_around_own(finest))
         .join(holding, _CUBE)
         .groupBy(*_OWN)
-        .agg(F.greatest(F.max("_level") - 1, F.lit(0)).alias("_level"))
+        .agg(F.expr("greatest(max(_level) - 1, 0) AS _level"))
     )
 
     # The 27 cubes around the own one on the chosen level.
-    around = reach.select(*_OWN, "_level", F.explode(F.sequence(F.lit(0), F.lit(26))).alias("_n"))
     steps = ("_n % 3", "_n div 3 % 3", "_n div 9")
-    around = around.select(
+    around = reach.selectExpr(*_OWN, "_level", "explode(sequence(0, 26)) AS _n").selectExpr(
         *_OWN,
         "_level",
         *[
-            F.expr(f"cast(shiftright({own}, {finest} - _level) + {step} - 1 AS int)").alias(name)
+            f"cast(shiftright({own}, {finest} - _level) + {step} - 1 AS int) AS {name}"
             for own, step, name in zip(_OWN, steps, _CUBE[1:])
         ],
     )
 
     # Chord from the centre of the own cube to the site.
     edge = 2.0 ** (1 - finest)
-    site_xyz = _xyz(F.col("_site.site_lat"), F.col("_site.site_lon"))
-    dx, dy, dz = ((F.col(own) + 0.5) * edge - 1.0 - v for own, v in zip(_OWN, site_xyz))
-    near = around.join(places, _CUBE).select(
-        *_OWN, "_site", F.sqrt(dx * dx + dy * dy + dz * dz).alias("_chord")
+    squares = [
+        f"power(({own} + 5e-1) * {edge:.17e} - 1e0 - {v}, 2)"
+        for own, v in zip(_OWN, _xyz("_site.site_lat", "_site.site_lon"))
+    ]
+    near = around.join(places, _CUBE).selectExpr(
+        *_OWN, "_site", f"sqrt({' + '.join(squares)}) AS _chord"
     )
 
     # Every place of the cube is within half a diagonal of its centre.
@@ -135,8 +139,9 @@ def nearest_sites(
 
     ``points`` need ``lat`` and ``lon``, ``sites`` need ``site_lat`` and
     ``site_lon``; other columns are carried along under names that differ.
-    Rows without a valid location are dropped.  ``ties='all'`` repeats a point for each of its equally near
-    sites; ``ties='first'`` keeps the one that sorts first by its columns.
+    Rows without a valid location are dropped.  ``ties='all'`` repeats a point
+    for each of its equally near sites; ``ties='first'`` keeps the site that
+    sorts first by its columns.
 
     Each location should occur a bounded number of times: aggregate first, or
     use :func:`nearest_sites_per_row`.  The points are read twice; the heavy
@@ -145,8 +150,8 @@ def nearest_sites(
     ``finest_level`` sets the size of the smallest cubes.  It only affects the
     speed; if it is not given, the sites are counted for it.
     """
-    points = points.where((F.abs("lat") <= 90) & F.col("lon").isNotNull())
-    sites = sites.where((F.abs("site_lat") <= 90) & F.col("site_lon").isNotNull())
+    points = points.where("abs(lat) <= 90 AND lon IS NOT NULL")
+    sites = sites.where("abs(site_lat) <= 90 AND site_lon IS NOT NULL")
     if ties == "first":
         sites = sites.distinct()
     if finest_level is None:
@@ -157,7 +162,7 @@ def nearest_sites(
 
     candidates = candidate_sites(points, sites, finest_level, slack)
     pairs = (
-        points.select("*", *_own(F.col("lat"), F.col("lon"), finest_level))
+        points.selectExpr("*", *_own("lat", "lon", finest_level))
         .join(candidates, _OWN)
         .select(*points.columns, "_site.*")
         .withColumn("distance_km", distance_km("lat", "lon", "site_lat", "site_lon", model))
