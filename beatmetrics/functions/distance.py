@@ -31,28 +31,37 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
-def _vincenty():
-    """The solver as a local function.
+def _solver():
+    """The geodesic solver as a local function.
 
     Local functions travel to the executors by value, so the workers need NumPy
     and pandas but not this package.
     """
-
-    def vincenty_km(lat1, lon1, lat2, lon2, max_steps: int = 200):
-        """Geodesic distance on the WGS-84 ellipsoid: Vincenty's inverse (1975).
-
-        Arrays in, array out.  Equal points give 0.  NaN marks missing input, a
-        latitude beyond the poles, and nearly antipodal pairs on which the
-        iteration does not settle.
-        """
-        a, f = WGS84_MAJOR_KM, WGS84_FLATTENING
-        b = a * (1 - f)
-        lat1, lon1, lat2, lon2 = (np.asarray(v, dtype=float) for v in (lat1, lon1, lat2, lon2))
-        u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
-        u2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
-        # Longitude difference brought to [-180, 180).
-        span = np.radians((lon2 - lon1 + 180) % 360 - 180)
-        su1, cu1, su2, cu2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
+    a, f = WGS84_MAJOR_KM, WGS84_FLATTENING
+    b = a * (1 - f)
+
+    def reduced(lat):
+        u = np.arctan((1 - f) * np.tan(np.radians(lat)))
+        return np.sin(u), np.cos(u)
+
+    def longitude(omega, sigma, sin_alpha, cos2_alpha, cos_2m):
+        """Longitude difference on the ellipsoid for one on the auxiliary sphere."""
+        c = f / 16 * cos2_alpha * (4 + f * (4 - 3 * cos2_alpha))
+        turn = cos_2m + c * np.cos(sigma) * (2 * cos_2m**2 - 1)
+        return omega - (1 - c) * f * sin_alpha * (sigma + c * np.sin(sigma) * turn)
+
+    def length(sigma, cos2_alpha, cos_2m):
+        u_sq = cos2_alpha * (a**2 - b**2) / b**2
+        big_a = 1 + u_sq / 16384 * (4096 + u_sq * (u_sq * (320 - 175 * u_sq) - 768))
+        big_b = u_sq / 1024 * (256 + u_sq * (u_sq * (74 - 47 * u_sq) - 128))
+        sin_s, cos_s = np.sin(sigma), np.cos(sigma)
+        third = big_b / 6 * cos_2m * (4 * sin_s**2 - 3) * (4 * cos_2m**2 - 3)
+        second = big_b / 4 * (cos_s * (2 * cos_2m**2 - 1) - third)
+        return b * big_a * (sigma - big_b * sin_s * (cos_2m + second))
+
+    def by_iteration(lat1, lat2, span, steps):
+        su1, cu1 = reduced(lat1)
+        su2, cu2 = reduced(lat2)
 
         def arc(lam):
             sl, cl = np.sin(lam), np.cos(lam)
@@ -62,39 +71,79 @@ def _vincenty():
             cos2_alpha = 1 - sin_alpha**2
             # Along the equator cos2_alpha is 0 and the term drops out.
             cos_2m = np.where(cos2_alpha < 1e-15, 0.0, cos_s - 2 * su1 * su2 / cos2_alpha)
-            return sin_s, cos_s, np.arctan2(sin_s, cos_s), sin_alpha, cos2_alpha, cos_2m
+            return np.arctan2(sin_s, cos_s), sin_alpha, cos2_alpha, cos_2m
+
+        lam = span
+        settled = np.zeros(span.shape, dtype=bool)
+        for _ in range(steps):
+            following = span + lam - longitude(lam, *arc(lam))
+            # A settled row stays as it is, however long its batch goes on, so
+            # that equal pairs get equal distances in every batch.
+            settled_now = (np.abs(following - lam) < 1e-12) & (np.abs(following) <= np.pi)
+            lam = np.where(settled, lam, following)
+            settled |= settled_now
+            if (settled | np.isnan(following)).all():
+                break
+        sigma, _, cos2_alpha, cos_2m = arc(lam)
+        return np.where(settled, length(sigma, cos2_alpha, cos_2m), np.nan)
+
+    def by_bisection(lat1, lat2, span):
+        """For nearly opposite points: the azimuth that meets the longitude.
+
+        With the first point in the south and at least as far from the equator,
+        the longitude at which a geodesic first reaches the second latitude
+        grows with its azimuth.
+        """
+        swap = np.abs(lat1) < np.abs(lat2)
+        lat1, lat2 = np.where(swap, lat2, lat1), np.where(swap, lat1, lat2)
+        side = np.where(lat1 > 0, -1.0, 1.0)
+        su1, cu1 = reduced(lat1 * side)
+        su2, cu2 = reduced(lat2 * side)
+        su1 = np.minimum(su1, -1e-200)
+        target = np.abs(span)
+
+        def shoot(azimuth):
+            sin_alpha = np.sin(azimuth) * cu1
+            cos2_alpha = np.cos(azimuth) ** 2 + (np.sin(azimuth) * su1) ** 2
+            north1 = np.cos(azimuth) * cu1
+            north2 = np.sqrt(np.maximum(0.0, north1**2 + cu2**2 - cu1**2))
+            sigma1, sigma2 = np.arctan2(su1, north1), np.arctan2(su2, north2)
+            omega = np.arctan2(sin_alpha * su2, north2) - np.arctan2(sin_alpha * su1, north1)
+            sigma, cos_2m = sigma2 - sigma1, np.cos(sigma1 + sigma2)
+            reached = longitude(omega, sigma, sin_alpha, cos2_alpha, cos_2m)
+            return reached, length(sigma, cos2_alpha, cos_2m)
+
+        low, high = np.zeros(span.shape), np.full(span.shape, np.pi)
+        for _ in range(60):
+            middle = (low + high) / 2
+            short = shoot(middle)[0] < target
+            low, high = np.where(short, middle, low), np.where(short, high, middle)
+        return shoot(high)[1]
+
+    def vincenty_km(lat1, lon1, lat2, lon2, steps: int = 50):
+        """Geodesic distance on the WGS-84 ellipsoid: Vincenty's inverse (1975).
 
+        Arrays in, array out.  Equal points give 0; NaN marks missing input and
+        latitudes beyond the poles.  Nearly opposite points, on which the
+        iteration does not settle, are solved by bisection with the same series.
+        """
+        lat1, lon1, lat2, lon2 = np.broadcast_arrays(
+            *(np.asarray(v, dtype=float) for v in (lat1, lon1, lat2, lon2))
+        )
         with np.errstate(all="ignore"):
-            lam = span
-            settled = np.zeros(span.shape, dtype=bool)
-            for _ in range(max_steps):
-                sin_s, cos_s, sigma, sin_alpha, cos2_alpha, cos_2m = arc(lam)
-                c = f / 16 * cos2_alpha * (4 + f * (4 - 3 * cos2_alpha))
-                turn = cos_2m + c * cos_s * (2 * cos_2m**2 - 1)
-                following = span + (1 - c) * f * sin_alpha * (sigma + c * sin_s * turn)
-                # A settled row stays as it is, however long its batch goes on, so
-                # that equal pairs get equal distances in every batch.
-                settled_now = np.abs(following - lam) < 1e-12
-                lam = np.where(settled, lam, following)
-                settled |= settled_now
-                if (settled | np.isnan(following)).all():
-                    break
-
-            sin_s, cos_s, sigma, _, cos2_alpha, cos_2m = arc(lam)
-            u_sq = cos2_alpha * (a**2 - b**2) / b**2
-            big_a = 1 + u_sq / 16384 * (4096 + u_sq * (u_sq * (320 - 175 * u_sq) - 768))
-            big_b = u_sq / 1024 * (256 + u_sq * (u_sq * (74 - 47 * u_sq) - 128))
-            inner = cos_s * (2 * cos_2m**2 - 1) - big_b / 6 * cos_2m * (4 * sin_s**2 - 3) * (
-                4 * cos_2m**2 - 3
-            )
-            km = b * big_a * (sigma - big_b * sin_s * (cos_2m + big_b / 4 * inner))
-            valid = settled & (np.abs(lat1) <= 90) & (np.abs(lat2) <= 90)
+            # Longitude difference brought to [-180, 180).
+            span = np.radians((lon2 - lon1 + 180) % 360 - 180)
+            valid = (np.abs(lat1) <= 90) & (np.abs(lat2) <= 90) & ~np.isnan(span)
+            km = np.array(by_iteration(lat1, lat2, span, steps))
+            left = valid & np.isnan(km)
+            if left.any():
+                km[left] = by_bisection(lat1[left], lat2[left], span[left])
             return np.where(valid, km, np.nan)
 
     return vincenty_km
 
 
-vincenty_km = _vincenty()
+vincenty_km = _solver()
 
 
 def _geodesic_udf():

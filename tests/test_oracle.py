@@ -31,7 +31,7 @@ def duck(sf_dir):
 
 def _comparable(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else repr(round(value, 9))
+        return "NaN" if math.isnan(value) else repr(value)
     if isinstance(value, datetime.datetime) and value.time() == datetime.time():
         value = value.date()
     return repr(value)

@@ -285,3 +285,18 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, None)], "`a b` int, c string")
     assert rows(reports.profile(df)) == [("a b", "int", 3, 1), ("c", "string", 3, 2)]
     assert Counter(r[2] for r in rows(reports.profile(df.limit(0)))) == {0: 2}
+
+
+def test_views_for_own_sql(spark):
+    from beatmetrics.functions.distance import register_functions
+
+    register_functions(spark)
+    sql_reports.register_views(
+        test_incidents=incidents(spark, {}), test_stations=stations(spark, *STATIONS)
+    )
+    row = spark.sql(
+        """SELECT i.lat AS from_lat, s.lat AS to_lat, s.lon AS to_lon,
+             geodesic_km(from_lat, i.lon, to_lat, to_lon) AS km
+           FROM test_incidents i JOIN test_stations s ON try_cast(i.area_code AS INT) = s.prec"""
+    ).first()
+    assert row.km == pytest.approx(float(vincenty_km(34.0, -118.0, 34.1, -118.0)))
