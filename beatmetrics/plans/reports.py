@@ -1,9 +1,10 @@
 """The incident reports as DataFrame jobs.
 
-Each report cuts the incidents down to counts per distinct key before any
-join: the partial count runs where the rows are read, so only distinct
-(place, group) combinations cross the network and neither a busy place nor a
-busy area makes a large task.  Means are then weighted by these counts.
+No report shuffles raw incidents.  Where the other side of a join is small, rows
+are joined and partially aggregated in the task that reads them, and only a few
+sums cross the network.  Where rows have to meet by place – the nearest search,
+and a large table of places – they are counted per place first, so that a busy
+place is one row per task and not one large task; means are then weighted.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from beatmetrics.functions.columns import (
     is_known,
 )
 from beatmetrics.functions.distance import with_distance_km
-from beatmetrics.operators.hints import with_strategy
+from beatmetrics.operators.hints import BROADCAST_MAX_ROWS, has_at_most, with_strategy
 from beatmetrics.operators.nearest import nearest_sites, nearest_sites_per_row
 from beatmetrics.operators.selection import bottom_n, keep_members, top_n, top_per_group
 
@@ -63,17 +64,23 @@ def victims_by_zip(
     year: int,
     strategy: str | None = None,
 ) -> DataFrame:
-    """Known victims counted per ZIP code, its income and victim group."""
-    victims = (
-        known_victims(incidents, year)
-        .groupBy("lat", "lon", "victim_descent")
-        .agg(F.count("*").alias("incidents"))
-    )
-    lookup = geozip.join(with_strategy(incomes, strategy), "zip").select(
-        "lat", "lon", "zip", "median_income"
-    )
+    """Known victims counted per ZIP code, its income and victim group.
+
+    A table of places that is known to be small is broadcast.  Otherwise the
+    victims are counted per place before the shuffle, so that no place is hot.
+    """
+    victims = known_victims(incidents, year)
+    if has_at_most(geozip, BROADCAST_MAX_ROWS):
+        victims = victims.select("lat", "lon", "victim_descent", F.lit(1).alias("incidents"))
+        geozip = with_strategy(geozip, strategy or "broadcast")
+    else:
+        victims = victims.groupBy("lat", "lon", "victim_descent").agg(
+            F.count("*").alias("incidents")
+        )
+        geozip = with_strategy(geozip, strategy)
     return (
-        victims.join(with_strategy(lookup, strategy), ["lat", "lon"])
+        victims.join(geozip, ["lat", "lon"])
+        .join(with_strategy(incomes, strategy), "zip")
         .groupBy("zip", "median_income", "victim_descent")
         .agg(F.sum("incidents").alias("incidents"))
         # Always true; it keeps the count in every use of this table, so that
@@ -181,7 +188,7 @@ def mean_distance(pairs: DataFrame, group: str, weight: Column) -> DataFrame:
 def _assigned(located, stations, group, model, strategy) -> DataFrame:
     pairs = assigned_station(located, stations, strategy)
     pairs = with_distance_km(pairs, "lat", "lon", "site_lat", "site_lon", model)
-    return mean_distance(pairs, group, F.col("incidents"))
+    return mean_distance(pairs, group, F.lit(1))
 
 
 def _nearest(located, sites, group, model) -> DataFrame:
@@ -196,8 +203,8 @@ def assigned_station_by_year(
     strategy: str | None = None,
 ) -> DataFrame:
     """Firearm incidents per year and their mean distance to the station in charge."""
-    located = per_place(
-        firearm_incidents(incidents), "area_code", F.year("date_occ").alias("year")
+    located = firearm_incidents(incidents).select(
+        "lat", "lon", "area_code", F.year("date_occ").alias("year")
     )
     return _assigned(located, stations, "year", model, strategy).orderBy("year")
 
@@ -232,7 +239,7 @@ def assigned_station_report(
     strategy: str | None = None,
 ) -> DataFrame:
     """Weapon incidents per division in charge and their mean distance to it."""
-    located = per_place(weapon_incidents(incidents), "area_code")
+    located = weapon_incidents(incidents).select("lat", "lon", "area_code")
     return _assigned(located, stations, "division", model, strategy).orderBy(
         F.desc("incidents"), "division"
     )

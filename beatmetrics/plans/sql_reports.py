@@ -47,19 +47,14 @@ DAY_SEGMENTS = """
 """
 
 VICTIMS_BY_ZIP = """
-    WITH victims AS (
-      SELECT lat, lon, victim_descent, count(*) AS incidents
-      FROM {incidents}
-      WHERE date_occ >= make_date(:year, 1, 1) AND date_occ < make_date(:year + 1, 1, 1)
-        AND victim_age <> 0 AND victim_descent <> 'X'
-      GROUP BY lat, lon, victim_descent
-    )
-    SELECT zip, median_income, victim_descent, sum(incidents) AS incidents
-    FROM victims
+    SELECT zip, median_income, victim_descent, count(*) AS incidents
+    FROM {incidents}
     JOIN {geozip} USING (lat, lon)
     JOIN {incomes} USING (zip)
+    WHERE date_occ >= make_date(:year, 1, 1) AND date_occ < make_date(:year + 1, 1, 1)
+      AND victim_age <> 0 AND victim_descent <> 'X'
     GROUP BY zip, median_income, victim_descent
-    HAVING sum(incidents) > 0
+    HAVING count(*) > 0
 """
 
 INCOME_EXTREMES = """
@@ -79,11 +74,9 @@ VICTIM_GROUPS = """
 """
 
 FIREARMS_BY_YEAR = """
-    SELECT lat, lon, area_code, year(date_occ) AS year, count(*) AS incidents
+    SELECT lat, lon, area_code, year(date_occ) AS year, 1 AS incidents
     FROM {incidents}
     WHERE weapon_code LIKE '1__' AND lat <> 0 AND lon <> 0
-    GROUP BY ALL
-    HAVING count(*) > 0
 """
 
 FIREARM_PLACES_BY_YEAR = """
@@ -95,11 +88,9 @@ FIREARM_PLACES_BY_YEAR = """
 """
 
 WEAPONS_BY_AREA = """
-    SELECT lat, lon, area_code, count(*) AS incidents
+    SELECT lat, lon, area_code, 1 AS incidents
     FROM {incidents}
     WHERE weapon_code IS NOT NULL AND lat <> 0 AND lon <> 0
-    GROUP BY ALL
-    HAVING count(*) > 0
 """
 
 WEAPON_PLACES = """

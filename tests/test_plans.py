@@ -114,6 +114,14 @@ def test_extremes_read_the_incidents_once(spark, data):
     assert len(scans(text, "victim_descent")) == 1
 
 
+@pytest.mark.parametrize("report", ["assigned_station_by_year", "assigned_station_report"])
+def test_assigned_shuffles_only_sums(data, report):
+    text = plan(getattr(reports, report)(data["incidents"], data["stations"]))
+    assert "BroadcastHashJoin" in text
+    below = text.split("HashAggregate")[-1]
+    assert "partial_sum" in below and "hashpartitioning" not in below
+
+
 def test_rank_filter_becomes_a_group_limit(data):
     assert "WindowGroupLimit" in plan(reports.top_periods(data["incidents"]))
 

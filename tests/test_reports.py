@@ -143,6 +143,18 @@ def test_duplicate_places_and_zips_multiply_rows(spark):
     assert rows(sql_reports.victim_groups_by_income_extremes(spark, df, geo, money)) == [("W", 8)]
 
 
+def test_large_table_of_places_is_shuffled(spark, monkeypatch):
+    """The way beyond the broadcast limit gives the same result."""
+    geo, money = income_world(spark, 8)
+    hot = [{**place(0), "victim_descent": "H"}] * 40
+    df = incidents(spark, *hot, *[{**place(i), "victim_descent": "ABCDEFGH"[i]} for i in range(8)])
+    small = rows(reports.victim_groups_by_income_extremes(df, geo, money))
+    monkeypatch.setattr(reports, "BROADCAST_MAX_ROWS", 3)
+    large = reports.victim_groups_by_income_extremes(df, geo, money)
+    assert rows(large) == small
+    assert dict(small)["H"] == 41
+
+
 def test_null_income_sorts_first_or_is_dropped(spark):
     geo, _ = income_world(spark, 3)
     money = incomes(spark, ("90000", None), ("90001", 10), ("90002", 20))
