@@ -72,7 +72,7 @@ def victims_by_zip(
     victims = known_victims(incidents, year)
     if has_at_most(geozip, BROADCAST_MAX_ROWS):
         victims = victims.select("lat", "lon", "victim_descent", F.lit(1).alias("incidents"))
-        geozip = with_strategy(geozip, strategy or "broadcast")
+        geozip = with_strategy(geozip, strategy) if strategy else F.broadcast(geozip)
     else:
         victims = victims.groupBy("lat", "lon", "victim_descent").agg(
             F.count("*").alias("incidents")
