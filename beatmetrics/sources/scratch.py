@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,10 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    A local session without the setting gets a temporary folder; on a cluster
-    the executors would not see the same one, so there the setting is required.
+    Without that setting it lies under ``spark.sql.warehouse.dir``, which a
+    session's driver and executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="beatmetrics-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
