@@ -37,3 +37,37 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from beatmetrics.llm.sentencepiece_bpe import round_trip
 
     return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def remainder(modulus: int):
+    """crc32 of the id as text, modulo; -1 without an id."""
+    from pyspark.sql import functions as F
+
+    text = F.col("doc_id").cast("string")
+    return F.coalesce(F.crc32(text.cast("binary")) % modulus, F.lit(-1))
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm import langid
+
+    documents = _table(spark, sf_dir, "documents")
+    model = langid.fit(documents.where(remainder(5) != 0))
+    return langid.predict(documents, model).withColumn("held_out", remainder(5) == 0)
+
+
+@_query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from beatmetrics.llm import toxicity
+
+    documents = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(remainder(4) != 2)
+    network = toxicity.fit(documents, labels)
+    return toxicity.score(documents, network).select(
+        "doc_id",
+        (remainder(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.DEFAULT_THRESHOLD).cast("int").alias("predicted"),
+    )

@@ -1,7 +1,8 @@
 """Encoding and decoding with a merge-type sentencepiece vocabulary.
 
 A text is cut into chunks that no piece can span: runs of spaces with the word
-after them, and line breaks.  Each distinct chunk is encoded by an agenda of
+after them, line breaks, and before punctuation that no piece has behind a
+letter.  Each distinct chunk is encoded by an agenda of
 adjacent symbol pairs: the pair with the best score merges first, the leftmost
 on ties, and its neighbours enter the agenda anew.  Every chunk that a worker
 meets for the first time in an Arrow batch is also encoded by the library; ids
@@ -13,8 +14,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import string
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +32,7 @@ _CODECS: dict[str, Codec] = {}
 class Codec:
     """Encoder of one model file, with the chunks seen so far by this worker."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -42,14 +44,16 @@ class Codec:
             if not any(test(i) for test in (*special, self.library.is_unused)):
                 piece = self.library.id_to_piece(i)
                 self.scores[piece], self.ids[piece] = self.library.get_score(i), i
-        # A line break is a chunk of its own unless a piece has more around it.
-        lines = not any("\n" in p and len(p) > 1 for p in self.ids)
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
-            raise ValueError("the vocabulary has pieces that go on behind a space")
-        stop = r"\n" if lines else ""
-        self.chunks = re.compile(f"{SPACE}+[^{SPACE}{stop}]*|[^{SPACE}{stop}]+|\n")
+        if any(SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1) for p in self.ids):
+            raise ValueError("the vocabulary has pieces that span words or lines")
+        behind = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if a.isalpha()}
+        ends = re.escape("".join(c for c in string.punctuation if c not in behind))
+        # A word up to such punctuation behind a letter, or anything up to a space or line.
+        plain = f"[^{SPACE}\\n]"
+        word = f"(?:[^\\W\\d_]+(?=[{ends}])|{plain}+)" if ends else f"{plain}+"
+        self.chunks = re.compile(f"{SPACE}+{word}|{SPACE}+|{word}|\\n")
         self.limit = limit
-        self.known: dict[str, tuple[str, tuple[int, ...]]] = {}
+        self.known: dict[str, bytes] = {}
         self.lead = self.library.encode("\n")
 
     def agenda(self, chunk: str) -> list[int]:
@@ -108,10 +112,10 @@ class Codec:
             ids = self.agenda(chunk)
             if ids != expected:
                 raise ValueError(f"agenda and library differ on {chunk!r}")
-            self.known[chunk] = (",".join(map(str, ids)), tuple(ids))
+            self.known[chunk] = array("i", ids).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[tuple[str, list[int]]]:
-        """Of every text the ids joined by commas and the ids."""
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """The ids of every text."""
         if len(self.known) > self.limit:
             self.known.clear()
         find = self.chunks.findall
@@ -122,13 +126,16 @@ class Codec:
         known = self.known.__getitem__
         rows = []
         for chunks in cut:
-            found = list(map(known, chunks))
-            rows.append(
-                (",".join([x[0] for x in found]), list(chain.from_iterable([x[1] for x in found])))
-            )
+            ids = array("i")
+            ids.frombytes(b"".join(map(known, chunks)))
+            rows.append(ids.tolist())
         return rows
 
 
+def digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def codec(path: str) -> Codec:
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
@@ -155,16 +162,16 @@ def round_trip(
         for whole in batches:
             for batch in slices(whole):
                 rows = own.encode(batch.column(1).to_pylist())
-                decoded = [own.library.decode(ids) if ids else "" for _, ids in rows]
+                decoded = [own.library.decode(ids) if ids else "" for ids in rows]
                 out = [
                     batch.column(0).cast(pa.int64()),
-                    pa.array([len(ids) for _, ids in rows], pa.int64()),
-                    pa.array([hashlib.sha256(s.encode()).hexdigest() for s, _ in rows]),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded]),
+                    pa.array([len(ids) for ids in rows], pa.int64()),
+                    pa.array([digest(",".join(map(str, ids))) for ids in rows]),
+                    pa.array([digest(t) for t in decoded]),
                 ]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    out += [pa.array([i for _, i in rows], pa.list_(pa.int32())), pa.array(decoded)]
+                    out += [pa.array(rows, pa.list_(pa.int32())), pa.array(decoded)]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
