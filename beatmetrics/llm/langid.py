@@ -111,15 +111,25 @@ def learning_sample(
 ) -> DataFrame:
     """Ids of up to ``per_class`` rows of each class, the first by a hash of the id.
 
-    The rank filter cuts every class inside each task before the shuffle.
+    The classes are counted first, so that a cut of the hash leaves about twice
+    as many rows of each as are wanted, however many there are.
     """
-    order = Window.partitionBy(class_col).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col))
+    counts = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col)
+    shares = F.create_map(
+        *[
+            F.lit(x)
+            for r in counts.limit(max_classes).collect()
+            for x in (r[0], min(1.0, 2 * per_class / r[1] + 200 / r[1]))
+        ]
+    )
+    place = F.xxhash64(F.col(id_col))
+    order = Window.partitionBy(class_col).orderBy("_hash", id_col)
     return (
-        df.select(id_col, class_col)
+        df.select(id_col, class_col, place.alias("_hash"))
+        .where((F.col("_hash").cast("double") / 2**64 + 0.5) <= shares[F.col(class_col)])
         .withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") <= per_class)
-        .drop("_place")
-        .limit(per_class * max_classes)
+        .select(id_col, class_col)
     )
 
 
@@ -259,7 +269,7 @@ def predict(
 
 
 def keep_identified(
-    df: DataFrame, model: Model, least: float = 0.5, text_col: str = "text"
+    df: DataFrame, model: Model, least: float = 0.3, text_col: str = "text"
 ) -> DataFrame:
     """The rows, unchanged, whose language is known with probability ``least`` or more.
 

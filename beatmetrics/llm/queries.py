@@ -71,3 +71,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.DEFAULT_THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@_query
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.fingerprint import edited_likeness
+
+    return edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm import pii
+
+    documents = _table(spark, sf_dir, "documents")
+    return pii.find(documents, pii.fit(documents))
