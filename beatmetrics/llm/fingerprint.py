@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 K = 128
 N_WORDS = 5
 # Documents of neighbouring ids meet in groups of 2 ** GROUP_BITS ids.
-GROUP_BITS = 6
+GROUP_BITS = 8
 PARENT_BITS = 10
 # A list of at most so many groups is ordered by one task.
 MAX_ORDERED = 10_000
+# Ids of first rows are broadcast up to this number (16 bytes each).
+MAX_BROADCAST_IDS = 500_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -122,27 +124,34 @@ def following(groups: DataFrame) -> DataFrame:
 def with_next(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     """Adds ``next``, the named columns of the row with the next id; of the first after the last.
 
-    One shuffle by groups of neighbouring ids; what crosses a group's edge is
-    one row per group.  Null ids come first; rows of one id follow each other
-    by the columns.
+    One shuffle by groups of neighbouring ids.  The first row of each group
+    also goes to the group before it, behind its rows.  The ids of these rows
+    are one per group; beyond MAX_BROADCAST_IDS they are joined by a shuffle.
+    Null ids come first; rows of one id follow each other by the columns.
     """
-    group = F.shiftright(F.coalesce(F.col(id_col), F.lit(-(1 << 63))), GROUP_BITS)
-    rows = df.withColumn("_g", group)
-    order = Window.partitionBy("_g").orderBy(F.col(id_col).asc_nulls_first(), *columns)
-    own = F.struct(*columns)
-    rows = rows.withColumn("next", F.lead(own).over(order)).withColumn(
-        "_head", F.lag(F.lit(True)).over(order).isNull()
+    key = F.coalesce(F.col(id_col), F.lit(-(1 << 63)))
+    rows = df.withColumn("_key", key)
+    groups = rows.select("_key").groupBy(F.shiftright("_key", GROUP_BITS).alias("g"))
+    heads = groups.agg(F.min("_key").alias("head"))
+    first = (
+        following(heads.select("g"))
+        .join(heads.select(F.col("g").alias("behind"), "head"), "behind")
+        .select(F.col("head").alias("_key"), F.col("g").alias("_before"))
     )
-    links = following(df.select(group.alias("g")))
-    heads = (
-        rows.where("_head")
-        .select(F.col("_g").alias("behind"), own.alias("next"))
-        .join(links.withColumnRenamed("g", "_g"), "behind")
-        .select("_g", "next")
+    if heads.count() <= MAX_BROADCAST_IDS:
+        first = F.broadcast(first)
+    here = F.struct(F.lit(0).alias("_late"), F.shiftright("_key", GROUP_BITS).alias("_g"))
+    before = F.struct(F.lit(1).alias("_late"), F.col("_before").alias("_g"))
+    sent = F.when(F.col("_before").isNull(), F.array(here)).otherwise(F.array(here, before))
+    order = Window.partitionBy("_g").orderBy("_late", "_key", *columns)
+    return (
+        rows.join(first, "_key", "left")
+        .withColumn("_to", F.explode(sent))
+        .select("*", "_to._late", "_to._g")
+        .withColumn("next", F.lead(F.struct(*columns)).over(order))
+        .where("_late = 0")
+        .select(*df.columns, "next")
     )
-    inner = rows.where("next IS NOT NULL").drop("_g", "_head")
-    edges = rows.where("next IS NULL").drop("next", "_head").join(heads, "_g").drop("_g")
-    return inner.unionByName(edges)
 
 
 def edited_likeness(
