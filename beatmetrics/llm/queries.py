@@ -86,3 +86,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = _table(spark, sf_dir, "documents")
     return pii.find(documents, pii.fit(documents))
+
+
+@_query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
