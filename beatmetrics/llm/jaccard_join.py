@@ -10,8 +10,10 @@ passage alone gives a text fewer than l frequent shingles and no such pair.
 
 Equal sets are joined to one node first.  The texts under one key are compared
 with one of them; what is linked then is one component, and only pairs of
-different components are compared further.  A bound on the prefixes rejects
-most candidates before whole sets are compared.
+different components are compared further.  Parities of 256 groups of hashes
+bound the difference of two sets from below and reject most of these pairs
+inside the join; a bound on the prefixes rejects others before whole sets are
+compared.
 """
 
 from __future__ import annotations
@@ -74,17 +76,25 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """256 bits in four numbers: whether each group of hashes has an odd number."""
+    groups = (hashes >> np.uint64(8)) & np.uint64(255)
+    odd = np.bincount(groups.astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _sets(df: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """Rows (doc_id, n, sig, prefix) of a frame (doc_id, text)."""
+    """Rows (doc_id, n, sig, bits, prefix) of a frame (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1000):
-                sizes, sigs, prefixes = [], [], []
+                sizes, sigs, bits, prefixes = [], [], [], []
                 for text in batch.column(1):
                     s = shingles(text.as_py(), n_words)
                     sizes.append(len(s))
                     sigs.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    bits.append(parities(s))
                     size = extended(len(s), percent) if len(s) else 0
                     prefixes.append(s[:size].view(np.int64))
                 ends = np.cumsum([0, *map(len, prefixes)])
@@ -93,14 +103,17 @@ def _sets(df: DataFrame, n_words: int, percent: int) -> DataFrame:
                         batch.column(0),
                         pa.array(sizes, pa.int32()),
                         pa.array(sigs, pa.binary()),
+                        pa.array(bits, pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(
                             pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes))
                         ),
                     ],
-                    names=["doc_id", "n", "sig", "prefix"],
+                    names=["doc_id", "n", "sig", "bits", "prefix"],
                 )
 
-    return df.mapInArrow(run, "doc_id long, n int, sig binary, prefix array<long>")
+    return df.mapInArrow(
+        run, "doc_id long, n int, sig binary, bits array<long>, prefix array<long>"
+    )
 
 
 def _combinations(frequent: DataFrame, percent: int) -> DataFrame:
@@ -250,7 +263,10 @@ def near_duplicates(
     reps = written(
         table.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("sig")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        .agg(
+            F.min("doc_id").alias("rep"),
+            *[F.first(c).alias(c) for c in ("n", "bits", "prefix")],
+        )
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -285,13 +301,19 @@ def near_duplicates(
         .where("low <> high")
         .select("key")
     )
-    members = keyed.join(open_keys, "key", "left_semi")
-    a = members.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "component")])
-    b = members.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")])
+    bits = reps.select("node", *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(4)])
+    members = written(keyed.join(open_keys, "key", "left_semi").join(bits, "node"), "members")
+    names = [c for c in members.columns if c != "key"]
+    a = members.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    b = members.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    apart = sum(
+        F.bit_count(F.col(f"bits{i}_a").bitwiseXOR(F.col(f"bits{i}_b"))) for i in range(4)
+    )
     rest = (
         a.join(b, "key")
         .where("node_a < node_b AND component_a <> component_b")
         .where(_fits("n_a", "n_b", percent))
+        .where((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
         .distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
