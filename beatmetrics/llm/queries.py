@@ -93,3 +93,94 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from beatmetrics.llm.jaccard_join import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.embedding_dedup import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+TOOL_SCHEMAS = {
+    "compute": {"a": ("integer", True), "b": ("number", True), "exact": ("boolean", False)},
+    "fetch": {"options": ("object", False), "url": ("string", True)},
+    "search": {"limit": ("integer", False), "query": ("string", True)},
+}
+
+
+def tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls of all assistant turns and results of all user turns.
+
+    The table has no tool calls, so turns stand for them: an assistant's turn
+    calls a tool with arguments made of its text, some of them wrong; the
+    user's turn behind it is the result.  From the fourth of eight turns on, a
+    call builds on the one two turns before.
+    """
+    from pyspark.sql import functions as F
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    n, digest = F.char_length(text), F.md5(text)
+    name = F.get(
+        F.array(*[F.lit(t) for t in ("search", "fetch", "compute", "browse")]),
+        F.when(n % 13 == 0, 3).otherwise((n % 3).cast("int")),
+    )
+    call_id = F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn"))
+    arguments = (
+        F.when(n % 17 == 0, F.lit('{"a": '))
+        .when(
+            F.col("name") == "search",
+            F.format_string('{ "query" : "%s", "limit": %d }', digest, n),
+        )
+        .when(
+            F.col("name") == "fetch",
+            F.format_string(
+                '{"url":"https://example.com/%s", "options":{"z":%d,"b":[1, 2]}}', digest, n
+            ),
+        )
+        .when(n % 5 == 0, F.format_string('{"b": "%s"}', digest))
+        .otherwise(F.format_string('{"exact": true, "b": %d.5, "a": %d}', n, n))
+    )
+    before = F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn") - 2)
+    calls = (
+        conversations.where("role = 'assistant'")
+        .withColumn("name", name)
+        .select(
+            "conv_id",
+            call_id.alias("call_id"),
+            "turn",
+            "name",
+            arguments.alias("arguments"),
+            F.when(F.col("turn") % 8 >= 3, F.array(before))
+            .otherwise(F.array().cast("array<string>"))
+            .alias("after"),
+        )
+    )
+    results = conversations.where("role = 'user'").select(
+        "conv_id",
+        F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn") - 1).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    return calls, results
+
+
+@_query
+def op8_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.chat_tools import link
+
+    return link(*tool_calls(_table(spark, sf_dir, "conversations")), TOOL_SCHEMAS)
+
+
+@_query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.licenses import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
