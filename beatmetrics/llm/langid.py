@@ -115,18 +115,17 @@ def learning_sample(
     as many rows of each as are wanted, however many there are.
     """
     counts = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col)
+    rows = counts.limit(max_classes).collect()
+    if not rows:
+        return df.select(id_col, class_col).limit(0)
     shares = F.create_map(
-        *[
-            F.lit(x)
-            for r in counts.limit(max_classes).collect()
-            for x in (r[0], min(1.0, 2 * per_class / r[1] + 200 / r[1]))
-        ]
+        *[F.lit(x) for r in rows for x in (r[0], min(1.0, (2 * per_class + 200) / r[1]))]
     )
     place = F.xxhash64(F.col(id_col))
     order = Window.partitionBy(class_col).orderBy("_hash", id_col)
     return (
         df.select(id_col, class_col, place.alias("_hash"))
-        .where((F.col("_hash").cast("double") / 2**64 + 0.5) <= shares[F.col(class_col)])
+        .where((F.col("_hash").cast("double") / 2.0**64 + 0.5) <= shares[F.col(class_col)])
         .withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") <= per_class)
         .select(id_col, class_col)
