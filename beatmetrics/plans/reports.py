@@ -23,7 +23,7 @@ from beatmetrics.functions.columns import (
     is_known,
 )
 from beatmetrics.functions.distance import with_distance_km
-from beatmetrics.operators.hints import BROADCAST_MAX_ROWS, has_at_most, with_strategy
+from beatmetrics.operators.hints import with_strategy
 from beatmetrics.operators.nearest import nearest_sites, nearest_sites_per_row
 from beatmetrics.operators.selection import bottom_n, keep_members, top_n, top_per_group
 
@@ -66,18 +66,15 @@ def victims_by_zip(
 ) -> DataFrame:
     """Known victims counted per ZIP code, its income and victim group.
 
-    A table of places that is known to be small is broadcast.  Otherwise the
-    victims are counted per place before the shuffle, so that no place is hot.
+    Victims are counted per place before the join, under every strategy, so
+    that no place is hot; no job runs while the plan is built.
     """
-    victims = known_victims(incidents, year)
-    if has_at_most(geozip, BROADCAST_MAX_ROWS):
-        victims = victims.select("lat", "lon", "victim_descent", F.lit(1).alias("incidents"))
-        geozip = with_strategy(geozip, strategy) if strategy else F.broadcast(geozip)
-    else:
-        victims = victims.groupBy("lat", "lon", "victim_descent").agg(
-            F.count("*").alias("incidents")
-        )
-        geozip = with_strategy(geozip, strategy)
+    victims = (
+        known_victims(incidents, year)
+        .groupBy("lat", "lon", "victim_descent")
+        .agg(F.count("*").alias("incidents"))
+    )
+    geozip = with_strategy(geozip, strategy)
     return (
         victims.join(geozip, ["lat", "lon"])
         .join(with_strategy(incomes, strategy), "zip")

@@ -9,7 +9,8 @@ from beatmetrics.sources import schemas
 
 
 def _read(spark: SparkSession, paths: str | list[str], schema, **options) -> DataFrame:
-    return spark.read.csv(paths, schema=schema, header=True, **options)
+    # A quote inside a quoted field is doubled, as RFC 4180 has it.
+    return spark.read.csv(paths, schema=schema, header=True, **{"escape": '"', **options})
 
 
 def read_incidents(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:

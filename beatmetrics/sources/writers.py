@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.csv(path, header=True, mode=mode)
+    df.write.csv(path, header=True, mode=mode, escape='"')
 
 
 def pair_lines(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -116,7 +116,14 @@ def test_scratch_folder_comes_from_the_session():
         Session(spark_checkpoint_dir="hdfs://shared/tmp/", spark_master="yarn"), "t"
     )
     assert shared.startswith("hdfs://shared/tmp/t-")
-    with pytest.raises(ValueError):
-        scratch.scratch_path(Session(spark_master="yarn"), "t")
-    local = scratch.scratch_path(Session(spark_master="local[2]"), "t")
-    assert local != scratch.scratch_path(Session(spark_master="local[2]"), "t")
+    session = Session(spark_sql_warehouse_dir="hdfs://shared/warehouse")
+    other = scratch.scratch_path(session, "t")
+    assert other.startswith("hdfs://shared/warehouse/scratch/t-")
+    assert other != scratch.scratch_path(session, "t")
+
+
+def test_doubled_quotes(spark, tmp_path):
+    path = tmp_path / "incomes.csv"
+    path.write_text('Zip Code,Community,Income\n90001,"The ""Old"" Town, East","$33,887"\n')
+    row = readers.read_incomes(spark, str(path)).first()
+    assert (row.community, row.median_income) == ('The "Old" Town, East', 33887)
