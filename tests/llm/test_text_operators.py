@@ -125,7 +125,8 @@ def test_toxicity_finds_planted_words(spark):
     scores = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
     wrong = [k for k, y in labels if k >= 300 and (scores[k] >= 0.3) != (y == 1)]
     assert len(wrong) <= 2
-    odd = spark.createDataFrame([(None, None), (None, ""), (1, "x " * 40_000)], df.schema.fieldNames()[:2] and "doc_id long, text string")
+    odd = [(None, None), (None, ""), (1, "x " * 40_000)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string")
     assert all(0 <= r.score <= 1 for r in toxicity.score(odd, model).collect())
     kept = {r.doc_id for r in toxicity.keep_clean(df, model).collect()}
     assert len(kept & {k for k, y in labels if y}) <= 2 and len(kept) >= 295
