@@ -9,11 +9,13 @@ texts meets under a rare shingle or under a pair of frequent ones.  A common
 passage alone gives a text fewer than l frequent shingles and no such pair.
 
 Equal sets are joined to one node first.  The texts under one key are compared
-with one of them; what is linked then is one component, and only pairs of
-different components are compared further.  Parities of 256 groups of hashes
-bound the difference of two sets from below and reject most of these pairs
-inside the join; a bound on the prefixes rejects others before whole sets are
-compared.
+with one of them; what is linked then is one component, and only texts of
+different components are compared further: under crowded keys with a few heads
+first, so that a large group of copies becomes one component in linear work,
+then, where components still differ, pair by pair.  Parities of 256 groups of
+hashes bound the difference of two sets from below and reject most of these
+pairs inside the join; a bound on the prefixes rejects others before whole sets
+are compared.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from beatmetrics.llm.packing import slices
 
 # A shingle in more prefixes than this is frequent; no key of one shingle has more texts.
 RARE = 40
+# Heads with which the texts under one key are compared before pairs are, if there are more texts.
+HEADS = 8
 # Ids of texts to fetch are broadcast up to this number (8 bytes each).
 MAX_BROADCAST_IDS = 500_000
 
@@ -240,6 +244,43 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def _members(keys: DataFrame, links: DataFrame, reps: DataFrame) -> DataFrame:
+    """Rows (key, node, n, component, texts, bits0..3) of keys that several components share."""
+    keyed = keys.join(components(links), "node", "left").select(
+        "key", "node", "n", F.coalesce("component", "node").alias("component")
+    )
+    keyed = written(keyed, "keyed")
+    open_keys = (
+        keyed.groupBy("key")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("texts"),
+        )
+        .where("low <> high")
+        .select("key", "texts")
+    )
+    bits = reps.select("node", *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(4)])
+    return written(keyed.join(open_keys, "key").join(bits, "node"), "members")
+
+
+def _apart(left: DataFrame, right: DataFrame, ends: str, percent: int) -> DataFrame:
+    """Pairs under one key of different components that sizes and parities leave possible."""
+    names = [c for c in right.columns if c != "key"]
+    a = left.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    b = right.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    apart = sum(
+        F.bit_count(F.col(f"bits{i}_a").bitwiseXOR(F.col(f"bits{i}_b"))) for i in range(4)
+    )
+    return (
+        a.join(b, "key")
+        .where(ends)
+        .where("component_a <> component_b")
+        .where(_fits("n_a", "n_b", percent))
+        .where((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
+    )
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -290,33 +331,39 @@ def near_duplicates(
     )
     links = written(_checked(first, reps, texts, n_words, percent), "links")
 
-    joined = components(links)
-    keyed = keys.join(joined, "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component")
+    shared = _members(keys, links, reps)
+    crowded = shared.where(F.col("texts") > 2 * HEADS)
+    heads = crowded.groupBy("key").agg(
+        *[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"head{i}")
+          for i in range(HEADS)]
     )
-    keyed = written(keyed, "keyed")
-    open_keys = (
-        keyed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("key")
+    heads = heads.select(
+        "key", F.explode(F.array_distinct(F.array(*[f"head{i}.node" for i in range(HEADS)]))).alias("node")
     )
-    bits = reps.select("node", *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(4)])
-    members = written(keyed.join(open_keys, "key", "left_semi").join(bits, "node"), "members")
-    names = [c for c in members.columns if c != "key"]
-    a = members.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
-    b = members.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
-    apart = sum(
-        F.bit_count(F.col(f"bits{i}_a").bitwiseXOR(F.col(f"bits{i}_b"))) for i in range(4)
+    second = written(
+        _apart(crowded.join(heads, ["key", "node"]), crowded, "node_a <> node_b", percent)
+        .select(
+            F.least("node_a", "node_b").alias("a"),
+            F.greatest("node_a", "node_b").alias("b"),
+            F.when(F.col("node_a") < F.col("node_b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+            F.when(F.col("node_a") < F.col("node_b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
+        )
+        .distinct()
+        .join(first.select("a", "b"), ["a", "b"], "left_anti"),
+        "stars",
+    )
+    links = written(
+        links.unionByName(_checked(second, reps, texts, n_words, percent)), "links"
     )
+
+    # Keys of one component stay so.
+    members = _members(shared.select("key", "node", "n"), links, reps)
+    tested = first.select("a", "b").union(second.select("a", "b"))
     rest = (
-        a.join(b, "key")
-        .where("node_a < node_b AND component_a <> component_b")
-        .where(_fits("n_a", "n_b", percent))
-        .where((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
+        _apart(members, members, "node_a < node_b", percent)
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
         .distinct()
-        .join(first.select("a", "b"), ["a", "b"], "left_anti")
+        .join(tested, ["a", "b"], "left_anti")
     )
     more = _checked(written(rest, "rest"), reps, texts, n_words, percent)
     whole = components(links.unionByName(more))
