@@ -11,8 +11,12 @@ passage alone gives a text fewer than l frequent shingles and no such pair.
 Equal sets are joined to one node first.  The texts under one key are compared
 with one of them; what is linked then is one component, and only texts of
 different components are compared further: under crowded keys with a few heads
-first, so that a large group of copies becomes one component in linear work,
-then, where components still differ, pair by pair.  Parities of 256 groups of
+first, so that a large group of copies becomes one component in linear work.
+Where components still differ, a key of at most 64 texts is searched pair by
+pair.  The texts under larger keys, such as those that share a long passage, are
+indexed anew: whole sets ordered from the rarest shingle to the most frequent,
+whose plain prefixes leave the passage out.  Any pair that met under a large key
+has both ends there, and prefixes are exact in every common order.  Parities of 256 groups of
 hashes bound the difference of two sets from below and reject most of these
 pairs inside the join; a bound on the prefixes rejects others before whole sets
 are compared.
@@ -37,6 +41,8 @@ from beatmetrics.llm.packing import slices
 RARE = 40
 # Heads with which the texts under one key are compared before pairs are, if there are more texts.
 HEADS = 8
+# Texts under one key of which each is compared with each; with more, their rarest shingles decide.
+CROWD = 64
 # Ids of texts to fetch are broadcast up to this number (8 bytes each).
 MAX_BROADCAST_IDS = 500_000
 
@@ -167,11 +173,66 @@ def _index(reps: DataFrame, percent: int) -> DataFrame:
     return written(rare.unionByName(_combinations(frequent, percent)), "keys")
 
 
+def _rarest_first(
+    nodes: DataFrame, reps: DataFrame, texts: DataFrame, n_words: int, percent: int
+) -> DataFrame:
+    """Rows (key, node, n): plain prefixes of the nodes with their rarest shingles first.
+
+    Shingles of one node alone fill the prefix without becoming keys.
+    """
+    sets = _whole_sets(nodes, reps, texts, n_words)
+    posts = sets.select(F.explode("hashes").alias("key"), "node", F.size("hashes").alias("n"))
+    counts = posts.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    plain = F.expr(f"n + 1 - ({percent}L * n + 99) div 100")
+    prefixes = (
+        posts.join(counts, "key")
+        .groupBy("node")
+        .agg(
+            F.first("n").alias("n"),
+            F.array_sort(F.collect_list(F.struct("nodes", "key"))).alias("tokens"),
+        )
+        .withColumn("left", (plain - F.col("n") + F.size("tokens")).cast("int"))
+        .where(F.col("left") > 0)
+    )
+    keys = prefixes.select(F.explode(F.slice("tokens", 1, "left")).alias("token"), "node", "n")
+    return written(keys.select("token.key", "node", "n"), "keys")
+
+
 def _fits(a: str, b: str, percent: int):
     """Sizes that allow the threshold."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _whole_sets(nodes: DataFrame, reps: DataFrame, texts: DataFrame, n_words: int) -> DataFrame:
+    """Rows (node, hashes): all shingles of the nodes, made anew from their texts."""
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1000):
+                sets = [shingles(t.as_py(), n_words) for t in batch.column(0)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["sig", "hashes"],
+                )
+
+    wanted = written(nodes.join(reps.select("node", "sig", "rep"), "node"), "wanted")
+    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    if ids.count() <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    sets = (
+        texts.join(ids, "doc_id", "left_semi")
+        .select("text")
+        .mapInArrow(with_sets, "sig binary, hashes array<long>")
+        .join(wanted, "sig")
+        .groupBy("node")
+        .agg(F.first("hashes").alias("hashes"))
+    )
+    return written(sets, "hashes")
+
+
 def _checked(
     pairs: DataFrame, reps: DataFrame, texts: DataFrame, n_words: int, percent: int
 ) -> DataFrame:
@@ -192,18 +253,6 @@ def _checked(
                 keep = [similar(x, y, percent) for x, y in rows]
                 yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, 1000):
-                sets = [shingles(t.as_py(), n_words) for t in batch.column(0)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    ],
-                    names=["sig", "hashes"],
-                )
-
     def ends(table: DataFrame, column: str, end: str, *more: str) -> DataFrame:
         return table.select(
             F.col("node").alias(end), F.col(column).alias(f"{column}_{end}"), *more
@@ -217,19 +266,7 @@ def _checked(
     )
     left = written(left, "pairs")
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    wanted = written(nodes.join(reps.select("node", "sig", "rep"), "node"), "wanted")
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    if ids.count() <= MAX_BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    sets = (
-        texts.join(ids, "doc_id", "left_semi")
-        .select("text")
-        .mapInArrow(with_sets, "sig binary, hashes array<long>")
-        .join(wanted, "sig")
-        .groupBy("node")
-        .agg(F.first("hashes").alias("hashes"))
-    )
-    sets = written(sets, "hashes")
+    sets = _whole_sets(nodes, reps, texts, n_words)
     return (
         left.join(ends(sets, "hashes", "b"), "b")
         .join(ends(sets, "hashes", "a"), "a")
@@ -333,20 +370,23 @@ def near_duplicates(
 
     shared = _members(keys, links, reps)
     crowded = shared.where(F.col("texts") > 2 * HEADS)
-    heads = crowded.groupBy("key").agg(
-        *[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"head{i}")
-          for i in range(HEADS)]
-    )
-    heads = heads.select(
-        "key", F.explode(F.array_distinct(F.array(*[f"head{i}.node" for i in range(HEADS)]))).alias("node")
-    )
+    drawn = [
+        F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"head{i}")
+        for i in range(HEADS)
+    ]
+    drawn_nodes = F.array_distinct(F.array(*[f"head{i}.node" for i in range(HEADS)]))
+    heads = crowded.groupBy("key").agg(*drawn).select("key", F.explode(drawn_nodes).alias("node"))
     second = written(
         _apart(crowded.join(heads, ["key", "node"]), crowded, "node_a <> node_b", percent)
         .select(
             F.least("node_a", "node_b").alias("a"),
             F.greatest("node_a", "node_b").alias("b"),
-            F.when(F.col("node_a") < F.col("node_b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-            F.when(F.col("node_a") < F.col("node_b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
+            F.when(F.col("node_a") < F.col("node_b"), F.col("n_a"))
+            .otherwise(F.col("n_b"))
+            .alias("n_a"),
+            F.when(F.col("node_a") < F.col("node_b"), F.col("n_b"))
+            .otherwise(F.col("n_a"))
+            .alias("n_b"),
         )
         .distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti"),
@@ -358,9 +398,13 @@ def near_duplicates(
 
     # Keys of one component stay so.
     members = _members(shared.select("key", "node", "n"), links, reps)
+    crowd = members.where(F.col("texts") > CROWD).select("node").distinct()
+    again = _members(_rarest_first(crowd, reps, texts, n_words, percent), links, reps)
     tested = first.select("a", "b").union(second.select("a", "b"))
+    few = members.where(F.col("texts") <= CROWD)
     rest = (
-        _apart(members, members, "node_a < node_b", percent)
+        _apart(few, few, "node_a < node_b", percent)
+        .unionByName(_apart(again, again, "node_a < node_b", percent))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
         .distinct()
         .join(tested, ["a", "b"], "left_anti")

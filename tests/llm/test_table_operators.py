@@ -76,6 +76,14 @@ def test_jaccard_join_equals_brute_force(spark, copies, n, percent):
     assert len(rows) == len(copies)
 
 
+def test_jaccard_join_with_small_limits_equals_brute_force(spark, copies, monkeypatch):
+    for name, value in (("HEADS", 1), ("CROWD", 2)):
+        monkeypatch.setattr(f"beatmetrics.llm.jaccard_join.{name}", value)
+    df = spark.createDataFrame(copies, "doc_id long, text string")
+    rows = near_duplicates(df).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_groups(copies, 4, 85)
+
+
 def test_jaccard_join_of_odd_rows(spark):
     schema = "doc_id long, text string, n long"
     assert near_duplicates(spark.createDataFrame([], schema)).collect() == []
