@@ -281,9 +281,9 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def _members(keys: DataFrame, links: DataFrame, reps: DataFrame) -> DataFrame:
+def _members(keys: DataFrame, whole: DataFrame, reps: DataFrame) -> DataFrame:
     """Rows (key, node, n, component, texts, bits0..3) of keys that several components share."""
-    keyed = keys.join(components(links), "node", "left").select(
+    keyed = keys.join(whole, "node", "left").select(
         "key", "node", "n", F.coalesce("component", "node").alias("component")
     )
     keyed = written(keyed, "keyed")
@@ -368,7 +368,7 @@ def near_duplicates(
     )
     links = written(_checked(first, reps, texts, n_words, percent), "links")
 
-    shared = _members(keys, links, reps)
+    shared = _members(keys, components(links), reps)
     crowded = shared.where(F.col("texts") > 2 * HEADS)
     drawn = [
         F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"head{i}")
@@ -397,9 +397,10 @@ def near_duplicates(
     )
 
     # Keys of one component stay so.
-    members = _members(shared.select("key", "node", "n"), links, reps)
+    whole = components(links)
+    members = _members(shared.select("key", "node", "n"), whole, reps)
     crowd = members.where(F.col("texts") > CROWD).select("node").distinct()
-    again = _members(_rarest_first(crowd, reps, texts, n_words, percent), links, reps)
+    again = _members(_rarest_first(crowd, reps, texts, n_words, percent), whole, reps)
     tested = first.select("a", "b").union(second.select("a", "b"))
     few = members.where(F.col("texts") <= CROWD)
     rest = (
