@@ -39,7 +39,8 @@ class WordIds:
 
     The tokenizer drops white space and treats the words between it on their
     own, so a text's ids are those of its words.  Only words not seen before
-    are given to the library.
+    are given to the library.  Its added tokens may hold or touch any words:
+    texts with the first two characters of one are given to it whole.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
@@ -47,7 +48,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder().values()
+        self.heads = sorted({t.content[:2].encode().lower() for t in added})
         self.limit = limit
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.reset()
@@ -63,9 +65,14 @@ class WordIds:
         if len(self.places) > self.limit:
             self.reset()
         find = self.places.__getitem__
-        rows, counts = [], []
-        for text in texts:
-            words = _SEAM.sub(b" ", text.encode().lower()).split() if text else []
+        rows, counts, whole = [], [], {}
+        for k, text in enumerate(texts):
+            lower = text.encode().lower() if text else b""
+            if any(head in lower for head in self.heads):
+                found = self.library.encode(text, add_special_tokens=False).ids
+                whole[k] = np.array(found, np.uint32)
+                lower = b""
+            words = _SEAM.sub(b" ", lower).split()
             rows.append(np.fromiter(map(find, words), np.int64, len(words)))
             counts.append(len(words))
         if self.new:
@@ -85,7 +92,8 @@ class WordIds:
         at = np.repeat(self.starts[words] - (ends - lengths), lengths)
         ids = self.ids[at + np.arange(len(at))]
         edges = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        spans = enumerate(zip(edges[:-1], edges[1:], strict=True))
+        return [whole[k] if k in whole else ids[a:b] for k, (a, b) in spans]
 
 
 class _Places(dict):

@@ -55,6 +55,22 @@ def test_pack_of_nothing_and_of_null_ids(spark):
     assert sorted(str(r.doc_id) for r in pack(rows, WORD_BPE).collect()) == ["7", "None", "None"]
 
 
+def test_pack_takes_special_tokens_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(WORD_BPE)
+    texts = [
+        "end of page <|endoftext|> next", "a<|startoftext|>b<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> A.",
+        "x <|endoftext |> <| endoftext|>\n<|endoftext|", "plain", None, "word, " * 900 + "<|endoftext|>",
+    ]
+    rows = pack(frame(spark, texts), WORD_BPE, length=50_000, with_ids=True).collect()
+    found = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in rows}
+    assert found[0] == [806, 539, 2504, 49407, 1131, 1]
+    assert found == {
+        i: own.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(texts)
+    }
+
+
 def test_agenda_equals_the_library():
     codec = Codec(PIECES)
     chance = random.Random(1)
