@@ -437,10 +437,38 @@ def keep_first(
     n_words: int = 5,
     percent: int = 80,
 ) -> DataFrame:
-    """The rows whose id is the smallest of their group of near-duplicates.
+    """One row of each group of near-duplicates: the one with the smallest id.
 
-    Rows without an id stay.  The groups' other ids are joined out.
+    The groups are those of rows, so repeated and null ids neither join nor
+    part texts.  A null id is the smallest; among equal ids a hash of the text
+    decides, among equal texts any one row stays.  Rows without words are no
+    copies and all stay; columns are kept as they are.
     """
-    found = written(near_duplicates(df, id_col, text_col, n_words, percent), "groups")
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
-    return df.join(copies, F.col(id_col) == F.col("_copy"), "left_anti")
+    row = "_row"
+    while row in (c.lower() for c in df.columns):
+        row = "_" + row
+    # Written with the numbers, so that they stay the same however often they are read.
+    rows = written(df.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows, row, text_col, n_words, percent)
+    order = rows.select(
+        F.col(row).alias("doc_id"),
+        F.struct(
+            F.col(id_col).cast("long").alias("id"),
+            F.xxhash64(F.col(text_col).cast("string")).alias("text"),
+            F.col(row).alias("row"),
+        ).alias("place"),
+    )
+    found = written(
+        groups.select("doc_id", "component_id").join(order, "doc_id"), "groups"
+    )
+    first = (
+        found.groupBy("component_id")
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+    )
+    copies = (
+        found.join(first, "component_id")
+        .where("place.row <> first.row")
+        .select(F.col("doc_id").alias(row))
+    )
+    return rows.join(copies, row, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

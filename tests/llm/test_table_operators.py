@@ -97,6 +97,25 @@ def test_jaccard_join_of_odd_rows(spark):
     assert kept.columns == df.columns and {r.n for r in kept.collect()} >= {3, 4}
 
 
+def test_one_row_of_each_group_stays(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (5, "a b c d e", 1), (5, "f g h i j", 2), (None, "a b c d e", 3), (3, "f g h i j", 4),
+        (7, "k l m n o", 5), (7, "k l m n o", 5), (7, "p q r s t", 6),
+        (None, "u v w x y", 7), (None, "u v w x y", 7), (None, "z z", 8),
+        (9, near, 9), (8, near + " more", 10), (8, "other words that nobody else has", 11),
+        (2, None, 12), (2, "", 13), (None, None, 14),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row long").repartition(4)
+    kept = keep_first(df)
+    assert kept.schema == df.schema
+    assert sorted(r._row for r in kept.collect()) == [3, 4, 5, 6, 7, 8, 10, 11, 12, 13, 14]
+    assert sorted(r.n for r in keep_first(
+        spark.createDataFrame(rows[:4], "doc_id long, text string, n long")
+    ).collect()) == [3, 4]
+    assert keep_first(df.limit(0)).collect() == []
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
