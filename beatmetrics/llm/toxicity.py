@@ -3,8 +3,9 @@
 Words are embedded by hashing the word and its first letters; filters of
 several widths slide over the embedded text, each keeps its maximum, and a
 logistic layer turns the maxima into a score.  The network is trained in numpy
-on a bounded sample of labelled rows.  A share of the sample is held back to
-calibrate the score and a threshold for each language.
+on a bounded sample of labelled rows.  All labelled rows that it did not learn
+from, a fifth of them at least, calibrate the score and a threshold for each
+language, weighted so that the classes have their shares of all labelled rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatmetrics.llm.common import Memo, ship
+from beatmetrics.llm.common import Memo, ship, written
 from beatmetrics.llm.langid import learning_sample
 from beatmetrics.llm.packing import slices
 
@@ -28,6 +29,9 @@ WIDTHS = (1, 2, 3)
 FILTERS = 6
 SIZE = 12
 DEFAULT_THRESHOLD = 0.3
+# Margins are counted in bins of this width, up to the limit on both sides.
+BIN = 1 / 32
+LIMIT = 40.0
 # ASCII letters, digits and all bytes of other characters make words.
 _TO_WORDS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -89,8 +93,8 @@ class Network:
     def margin(self, places: list[np.ndarray]) -> np.ndarray:
         return self.pooled(places)[0] @ self.output + self.bias
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        """Probabilities; texts are taken in groups that stay small in memory."""
+    def margins(self, texts: list[str | None]) -> np.ndarray:
+        """Margins; texts are taken in groups that stay small in memory."""
         out, group, words = [], [], 0
         for text in [*texts, None]:
             place = word_places(text)
@@ -100,8 +104,14 @@ class Network:
             group.append(place)
             words += len(place)
         out.append(self.margin(group))
+        return np.concatenate(out)[:-1]
+
+    def probability(self, margins: np.ndarray) -> np.ndarray:
         a, b = self.scale
-        return 1 / (1 + np.exp(-np.clip(a * np.concatenate(out)[:-1] + b, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(a * margins + b, -40, 40)))
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        return self.probability(self.margins(texts))
 
     def train(self, places: list[np.ndarray], y: np.ndarray, epochs: int, rate: float) -> None:
         """Stochastic gradient descent with momentum-free Adagrad steps."""
@@ -178,9 +188,12 @@ def start(places: list[np.ndarray], y: np.ndarray) -> Network:
     return Network(table, kernels, shifts, output, -1.0)
 
 
-def logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a calibrated logistic curve (Newton steps, smoothed targets)."""
-    n1, n0 = (y == 1).sum(), (y == 0).sum()
+def logistic(margins: np.ndarray, y: np.ndarray, rows: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a calibrated logistic curve (Newton steps, smoothed targets).
+
+    ``rows`` says how many rows each margin and class stands for.
+    """
+    n1, n0 = rows[y == 1].sum(), rows[y == 0].sum()
     if not n1 or not n0:
         return 1.0, 0.0
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
@@ -188,16 +201,19 @@ def logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        w -= np.clip(np.linalg.solve(h, x.T @ (p - target) + 1e-3 * (w - [1.0, 0.0])), -2, 2)
+        h = (x * (rows * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        slope = x.T @ (rows * (p - target)) + 1e-3 * (w - [1.0, 0.0])
+        w -= np.clip(np.linalg.solve(h, slope), -2, 2)
     return float(w[0]), float(w[1])
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(scores: np.ndarray, y: np.ndarray, rows: np.ndarray) -> float:
     """The cut with the best F1 score, midway between the scores around it."""
-    order = np.argsort(-scores, kind="stable")
-    s, hits = scores[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(s) + 1) + y.sum())
+    s, at = np.unique(-scores, return_inverse=True)
+    s = -s
+    toxic = np.bincount(at, rows * (y == 1), len(s))
+    hits = np.cumsum(toxic)
+    f1 = 2 * hits / (np.cumsum(np.bincount(at, rows, len(s))) + toxic.sum())
     at = int(f1.argmax())
     below = s[at + 1] if at + 1 < len(s) else 0.0
     return float(np.clip((s[at] + below) / 2, 0.05, 0.95))
@@ -213,9 +229,12 @@ def fit(
     per_class: int = 3000,
     epochs: int = 4,
     least_positives: int = 20,
+    rate: float = 0.05,
 ) -> Network:
     """Learns from at most ``per_class`` labelled rows of each class.
 
+    A fifth of the ids, by hash, is never learned from.  Scale and thresholds
+    come from all labelled rows without those learned from, whatever the size.
     Languages with ``least_positives`` held-back toxic rows get a threshold of
     their own, others the default.  Repeated labels of an id count as their
     maximum; rows without a label or an id are not learned from.
@@ -233,8 +252,10 @@ def fit(
         .groupBy("id")
         .agg(F.max("y").alias("y"))
     )
+    marks = written(marks, "labels")
     labelled = texts.select("id").distinct().join(marks, "id")
-    chosen = learning_sample(labelled, "y", per_class, "id", max_classes=2)
+    free = labelled.where(F.pmod(F.xxhash64("id", F.lit("held back")), F.lit(5)) != 4)
+    chosen = written(learning_sample(free, "y", per_class, "id", max_classes=2), "sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,37 +276,77 @@ def fit(
     rows.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r["id"])), r["words"]))
     places = [np.frombuffer(r["words"], "<i4").reshape(-1, 2) for r in rows]
     y = np.array([r["y"] for r in rows], np.int64)
-    return learn(places, y, [r["lang"] for r in rows], epochs, least_positives)
-
-
-def learn(
-    places: list[np.ndarray],
-    y: np.ndarray,
-    langs: list[str | None],
-    epochs: int = 4,
-    least_positives: int = 20,
-    rate: float = 0.05,
-) -> Network:
-    held = np.arange(len(y)) % 5 == 4
-    train = np.flatnonzero(~held)
-    network = start([places[i] for i in train], y[train])
-    network.train([places[i] for i in train], y[train], epochs, rate)
-    if held.any():
-        margins = np.concatenate(
-            [network.margin([places[i]]) for i in np.flatnonzero(held)]
-        )
-        network.scale = logistic(margins, y[held])
-        a, b = network.scale
-        scores = 1 / (1 + np.exp(-np.clip(a * margins + b, -40, 40)))
-        own = np.array([x or "" for x in langs])[held]
-        for name in sorted(set(own) - {""}):
-            here = own == name
-            if y[held][here].sum() >= least_positives:
-                network.thresholds[name] = best_threshold(scores[here], y[held][here])
+    network = start(places, y)
+    network.train(places, y, epochs, rate)
     network._last = None
+    calibrate(network, *margin_counts(network, texts, marks, chosen), least_positives)
     return network
 
 
+def margin_counts(
+    network: Network, texts: DataFrame, marks: DataFrame, chosen: DataFrame
+) -> tuple[DataFrame, dict[int, float]]:
+    """Rows (lang, bin, y, n) of the labelled rows not learned from, and weights of the classes.
+
+    All texts are scored where they are read; only their ids, languages and
+    bins meet the labels.  A weight is all labelled rows of a class by those
+    counted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1000):
+                margins = network.margins(batch.column(1).to_pylist())
+                bins = np.rint(np.clip(margins, -LIMIT, LIMIT) / BIN).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(2), pa.array(bins)], names=["id", "lang", "bin"]
+                )
+
+    used = chosen.select("id", F.lit(True).alias("used"))
+    counts = written(
+        texts.select("id", "text", "lang")
+        .mapInArrow(run, "id long, lang string, bin int")
+        .join(marks, "id")
+        # Two classes of at most per_class ids.
+        .join(F.broadcast(used), "id", "left")
+        .groupBy("lang", "bin", F.col("y").cast("int").alias("y"), F.col("used").isNull().alias("held"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "margins",
+    )
+    held = F.sum(F.when(F.col("held"), F.col("n")))
+    shares = counts.groupBy("y").agg(F.sum("n").alias("n"), held.alias("held")).collect()
+    weights = {r["y"]: r["n"] / r["held"] for r in shares if r["held"]}
+    return counts.where("held").drop("held"), weights
+
+
+def calibrate(
+    network: Network, counts: DataFrame, weights: dict[int, float], least_positives: int
+) -> None:
+    """Sets scale and thresholds from counts (lang, bin, y, n) of held-back rows."""
+
+    def arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        y = np.array([r["y"] for r in rows], np.int64)
+        n = np.array([r["n"] * weights[r["y"]] for r in rows], np.float64)
+        return np.array([r["bin"] for r in rows]) * BIN, y, n
+
+    # At most two rows per bin.
+    rows = counts.groupBy("bin", "y").agg(F.sum("n").alias("n")).orderBy("bin", "y").collect()
+    if not rows:
+        return
+    network.scale = logistic(*arrays(rows))
+    # The network holds a threshold of each of these languages; each has at most two rows per bin.
+    known = (
+        counts.where("lang <> '' AND y = 1").groupBy("lang").agg(F.sum("n").alias("toxic"))
+        .where(F.col("toxic") >= least_positives)
+    )
+    by_lang: dict[str, list] = {}
+    for r in counts.join(known, "lang").orderBy("lang", "bin", "y").toLocalIterator():
+        by_lang.setdefault(r["lang"], []).append(r)
+    for name, own in by_lang.items():
+        margins, y, n = arrays(own)
+        network.thresholds[name] = best_threshold(network.probability(margins), y, n)
+
+
 def score(
     df: DataFrame,
     network: Network,

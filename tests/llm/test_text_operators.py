@@ -148,6 +148,38 @@ def test_toxicity_finds_planted_words(spark):
     assert len(kept & {k for k, y in labels if y}) <= 2 and len(kept) >= 295
 
 
+def test_toxicity_answers_to_the_share_of_all_rows(spark):
+    chance = random.Random(12)
+    plain = ["".join(chance.choices("abcdefgh", k=5)) for _ in range(300)]
+    rows, labels = [], []
+    for k in range(3000):
+        words = chance.choices(plain, k=20)
+        toxic = k % 10 == 0
+        if toxic or k % 10 == 1:  # half of the rows with the word are toxic
+            words[k % 20] = "rotten"
+        rows.append((k, " ".join(words), "xx"))
+        labels.append((k, int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    for per_class in (100, 3000):
+        model = toxicity.fit(df, known, per_class=per_class)
+        scores = np.array([r.score for r in toxicity.score(df, model).collect()])
+        assert abs(scores.mean() - 0.1) < 0.03, per_class
+        assert set(model.thresholds) == {"xx"}
+
+
+def test_thresholds_from_counts_equal_those_of_rows():
+    random_ = np.random.default_rng(1)
+    scores = np.round(random_.random(400), 2)
+    y = (random_.random(400) < scores).astype(np.int64)
+    cuts = np.unique(scores)
+    f1 = [2 * y[scores >= c].sum() / ((scores >= c).sum() + y.sum()) for c in cuts]
+    cut = toxicity.best_threshold(scores, y, np.ones(400))
+    assert np.isclose(2 * y[scores >= cut].sum() / ((scores >= cut).sum() + y.sum()), max(f1))
+    pairs, n = np.unique(np.stack([scores, y]), axis=1, return_counts=True)
+    assert toxicity.best_threshold(pairs[0], pairs[1], n) == cut
+
+
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
