@@ -207,3 +207,35 @@ def test_license_scan(spark):
     assert (found[1].license, found[1].coverage) == ("Apache-2.0", 1.0)
     assert [found[k].license for k in (2, 3, 4)] == [None] * 3
     assert found[5].license == "GPL-3.0" and found[5].matches.startswith("GPL-3.0:50000:")
+
+
+def test_license_names_and_whole_texts(spark):
+    t = licenses.TEMPLATES
+    gpl = t["GPL-3.0-header"]
+    broken = t["MIT-text"].replace("THE SOFTWARE IS", "Copyright 2020 somebody of that name. THE SOFTWARE IS")
+    expected = [
+        ("Released under the BSD License.", "BSD"),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+        ("Licensed under CC BY-NC 2.5.", None),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("This work is licensed under the GNU Library General Public License, version 3.", None),
+        ("Released under the XYZ License.", None),
+        ("Licensed under the Apache License, Version 1.1.", None),
+        (gpl, "GPL-3.0-header"),
+        (gpl.replace("version 3", "version 2"), "GPL-2.0-header"),
+        (t["LGPL-2.1-header"], "LGPL-2.1-header"),
+        ("the of this and in a work " * 9 + broken, "MIT-text"),
+        (t["BSD-2-Clause-text"], "BSD-2-Clause-text"),
+        (t["BSD-3-Clause-text"], "BSD-3-Clause-text"),
+        (t["ISC-text"], "ISC-text"),
+        (t["MPL-2.0-header"], "MPL-2.0-header"),
+    ]
+    found = {r.doc_id: r for r in licenses.scan(frame(spark, [x for x, _ in expected])).collect()}
+    for k, (text, name) in enumerate(expected):
+        assert found[k].license == name, (text, found[k])
+    assert all(found[k].coverage == 1.0 for k in (9, 10, 11, 12, 13, 14, 15, 16))
+    names = list(t)
+    whole = {r.doc_id: r.license for r in licenses.scan(frame(spark, [t[n] for n in names])).collect()}
+    assert {names[k]: name for k, name in whole.items()} == {n: n for n in names}
