@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from beatmetrics.llm.oracles import clusters_sql, top_k_sql
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -179,6 +181,26 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.centroids import cluster
+
+    return cluster(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_centroids"] = clusters_sql()
+
+
+@_query
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_topk"] = top_k_sql()
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
