@@ -60,3 +60,45 @@ def top_k_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
           ORDER BY score DESC, vec_id NULLS LAST, other) AS n FROM scored)
     SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
     FROM ranked WHERE n <= {k}"""
+
+
+def crc32_sql(number: str) -> str:
+    """crc32 of a number in decimal, bit by bit."""
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    bit = "CASE WHEN u % 2 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END"
+    byte = f"list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda u, v: {bit})"
+    every = f"list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, b: {byte})"
+    return f"xor({every}, 4294967295)"
+
+
+def trie_sql(family: int = 5, modulus: int = 9) -> str:
+    return f"""
+    WITH turns AS (
+        SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(
+            length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+        FROM conversations WHERE conv_id IS NOT NULL),
+      ids AS (SELECT c, {crc32_sql("c")} % {modulus} AS h FROM (SELECT DISTINCT c FROM turns) x),
+      parts AS (
+        SELECT i.c, 0 AS part, b.n, b.r, b.t
+          FROM ids i JOIN turns b ON b.c = i.c - i.c % {family} AND b.n <= i.h
+        UNION ALL SELECT i.c, 1, o.n, o.r, o.t FROM ids i JOIN turns o ON o.c = i.c AND o.n > i.h),
+      rebuilt AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, n) AS d,
+        {{'r': r, 't': t}} AS turn FROM parts),
+      paths AS (SELECT c, d, list(turn) OVER (PARTITION BY c ORDER BY d) AS k FROM rebuilt
+        UNION ALL SELECT c, 0, [] FROM ids),
+      node AS MATERIALIZED (SELECT k, d, min(c) AS conv, count(*) AS n,
+        (count(*) - 1) * coalesce(strlen(k[d].t), 0) AS saved FROM paths GROUP BY k, d),
+      kids AS (SELECT k[:d - 1] AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+      full_node AS MATERIALIZED (SELECT node.*, coalesce(kids.n, 0) AS n_children
+        FROM node LEFT JOIN kids ON node.k = kids.k),
+      above AS (SELECT k[:j] AS k, CAST(sum(saved) AS BIGINT) AS saved,
+          count(*) FILTER (WHERE n_children = 0) AS leaves
+        FROM (SELECT *, unnest(range(d + 1)) AS j FROM full_node) x GROUP BY 1),
+      ends AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+        FROM paths p WHERE d = (SELECT max(d) FROM paths o WHERE o.c = p.c) GROUP BY k)
+    SELECT f.conv AS conv_id, CAST(f.d AS BIGINT) AS depth, up.conv AS parent_conv_id,
+      f.n AS n_convs, f.n_children, above.leaves AS n_leaves, above.saved AS saved_tokens,
+      sha256(coalesce(ends.ids, '')) AS ends_sha256
+    FROM full_node f JOIN above ON f.k = above.k LEFT JOIN ends ON f.k = ends.k
+      LEFT JOIN node up ON f.d > 0 AND up.d = f.d - 1 AND up.k = f.k[:f.d - 1]"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatmetrics.llm.oracles import clusters_sql, top_k_sql
+from beatmetrics.llm.oracles import clusters_sql, top_k_sql, trie_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,6 +191,16 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op11_centroids"] = clusters_sql()
 
 
+@_query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from beatmetrics.llm.trie import conversation_trie
+
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_conversation_trie"] = trie_sql()
+
+
 @_query
 def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from beatmetrics.llm.topk import top_k
