@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from beatmetrics.functions import columns as fc
 from beatmetrics.functions.distance import with_distance_km
 from beatmetrics.operators import selection
-from beatmetrics.operators.nearest import nearest_sites_per_row
+from beatmetrics.operators.nearest import nearest_sites, nearest_sites_per_row
 from beatmetrics.plans import reports, sql_reports
 from beatmetrics.sources import readers, schemas, writers
 from beatmetrics.sources.derived import VIEWS, load
@@ -588,6 +588,20 @@ def join_hint_shuffle_hash(spark, sf):
     return _join_assigned(spark, sf, "shuffle_hash")
 
 
+@_query(
+    """SELECT i.incident_id, s.prec, s.division
+    FROM busy_incidents i JOIN stations s ON try_cast(i.area_code AS int) = s.prec""",
+    ("busy_incidents", "stations"),
+)
+def join_assigned_skewed(spark, sf):
+    """A shuffle join on a key with two fifths of all rows."""
+    return reports.assigned_station(
+        load(spark, sf, "busy_incidents").select("incident_id", "area_code"),
+        _stations(spark, sf),
+        "split",
+    ).select("incident_id", F.col("area").alias("prec"), "division")
+
+
 @_query(
     f"""WITH {GEOZIP_SQL}, {INCOMES_SQL}
     SELECT g.lat, g.lon, g.zip, n.median_income FROM geozip g JOIN incomes n ON g.zip = n.zip""",
@@ -624,22 +638,49 @@ def join_membership(spark, sf):
     return selection.keep_members(_geozip(spark, sf), members, "zip").select("lat", "lon", "zip")
 
 
-@_query(
-    f"""
+def nearest_depots_sql(places: str, depots: str, k: int = 1, more: str = "") -> str:
+    return f"""
     WITH paired AS (SELECT p.place_id, d.depot_id, p.lat, p.lon, d.site_lat, d.site_lon
-        FROM places p CROSS JOIN depots d),
+        FROM {places} p CROSS JOIN {depots} d),
       {geodesic_ctes("paired")},
       ranked AS (SELECT *, rank() OVER (PARTITION BY place_id ORDER BY distance_km) AS position
         FROM measured)
-    SELECT place_id, depot_id, round(distance_km, 3) AS distance_km
-    FROM ranked WHERE position = 1""",
-    ("places", "depots"),
-)
+    SELECT place_id, depot_id, round(distance_km, 3) AS distance_km{more}
+    FROM ranked WHERE position <= {k}"""
+
+
+def _depot_distances(pairs: DataFrame, *more: str) -> DataFrame:
+    return pairs.select(
+        "place_id", "depot_id", F.round("distance_km", 3).alias("distance_km"), *more
+    )
+
+
+@_query(nearest_depots_sql("places", "depots"), ("places", "depots"))
 def nearest_site(spark, sf):
     """Both sides grow with the data here; no side is assumed to be small."""
-    return nearest_sites_per_row(
-        load(spark, sf, "places"), load(spark, sf, "depots"), key=["place_id"]
-    ).select("place_id", "depot_id", F.round("distance_km", 3).alias("distance_km"))
+    return _depot_distances(
+        nearest_sites_per_row(
+            load(spark, sf, "places"), load(spark, sf, "depots"), key=["place_id"]
+        )
+    )
+
+
+@_query(nearest_depots_sql("outposts", "crowded_depots"), ("outposts", "crowded_depots"))
+def nearest_site_clustered(spark, sf):
+    """Far points and crowded sites: any ring of cubes holds all sites or none."""
+    return _depot_distances(
+        nearest_sites(load(spark, sf, "outposts"), load(spark, sf, "crowded_depots"))
+    )
+
+
+@_query(
+    nearest_depots_sql("places", "twin_depots", 3, ", cast(position AS int) AS position"),
+    ("places", "twin_depots"),
+)
+def nearest_k_sites(spark, sf):
+    """The three nearest depots, where depots come in pairs: four of ranks 1, 1, 3, 3."""
+    found = nearest_sites(load(spark, sf, "places"), load(spark, sf, "twin_depots"), k=3)
+    return _depot_distances(found, "position")
 
 
 # --- Aggregates, order, sets -------------------------------------------------

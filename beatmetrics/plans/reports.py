@@ -24,8 +24,9 @@ from beatmetrics.functions.columns import (
 )
 from beatmetrics.functions.distance import with_distance_km
 from beatmetrics.operators.hints import with_strategy
-from beatmetrics.operators.nearest import nearest_sites, nearest_sites_per_row
+from beatmetrics.operators.nearest import nearest_of_key, nearest_sites, nearest_sites_per_row
 from beatmetrics.operators.selection import bottom_n, keep_members, top_n, top_per_group
+from beatmetrics.operators.skew import split_join
 
 
 def top_periods(incidents: DataFrame, n: int = 3, ties: str = "all") -> DataFrame:
@@ -159,6 +160,8 @@ def assigned_station(
     """Each row with the station whose precinct is the row's area.
 
     The area is text such as ``01``; text that is no number has no station.
+    Besides the strategies of :mod:`~beatmetrics.operators.hints`, ``'split'``
+    shuffles with frequent areas in parts, for station tables of any size.
     """
     sites = stations.select(
         F.col("prec").alias("area"),
@@ -166,9 +169,10 @@ def assigned_station(
         F.col("lat").alias("site_lat"),
         F.col("lon").alias("site_lon"),
     )
-    return incidents.withColumn("area", F.col("area_code").try_cast("int")).join(
-        with_strategy(sites, strategy), "area"
-    )
+    located = incidents.withColumn("area", F.col("area_code").try_cast("int"))
+    if strategy == "split":
+        return split_join(located, sites, ["area"])
+    return located.join(with_strategy(sites, strategy), "area")
 
 
 def mean_distance(pairs: DataFrame, group: str, weight: Column) -> DataFrame:
@@ -193,6 +197,12 @@ def _nearest(located, sites, group, model) -> DataFrame:
     return mean_distance(pairs, group, F.col("incidents") * F.col("site_count"))
 
 
+def _nearest_of_key(located, sites, model, key, *groups) -> DataFrame:
+    """The nearest pairs of each key; rows that are equal in all that matters are one."""
+    groups = [c for c in (*key, *groups) if c not in ("lat", "lon")]
+    return nearest_of_key(per_place(located, *dict.fromkeys(groups)), sites, key, model)
+
+
 def assigned_station_by_year(
     incidents: DataFrame,
     stations: DataFrame,
@@ -223,9 +233,8 @@ def nearest_station_by_year(
     if key is None:
         nearest = _nearest(per_place(firearms, "year"), sites, "year", model)
     else:
-        rows = firearms.select(*key, "year", "lat", "lon")
-        pairs = nearest_sites_per_row(rows, sites, model, key=key)
-        nearest = mean_distance(pairs, "year", F.col("site_count"))
+        pairs = _nearest_of_key(firearms, sites, model, key, "year")
+        nearest = mean_distance(pairs, "year", F.col("incidents") * F.col("site_count"))
     return nearest.orderBy("year")
 
 
@@ -257,9 +266,8 @@ def nearest_station_report(
     if key is None:
         nearest = _nearest(per_place(weapons), sites, "division", model)
     else:
-        rows = weapons.select(*key, "lat", "lon")
-        pairs = nearest_sites_per_row(rows, sites, model, key=key)
-        nearest = mean_distance(pairs, "division", F.col("site_count"))
+        pairs = _nearest_of_key(weapons, sites, model, key)
+        nearest = mean_distance(pairs, "division", F.col("incidents") * F.col("site_count"))
     return nearest.orderBy(F.desc("incidents"), "division")
 
 

@@ -25,6 +25,8 @@ def _lon(key: str) -> str:
     return f"-118.67e0 + 0.00005e0 * (({key} * 104729) % 10009)"
 
 
+PAIR = "cast(floor((s_suppkey + 1) / 2e0) AS bigint)"
+
 VIEWS = {
     "incidents": f"""
         SELECT lpad(cast(o_orderkey AS {{text}}), 12, '0') AS incident_id,
@@ -65,6 +67,26 @@ VIEWS = {
         SELECT s_suppkey AS depot_id, {_lat("(s_suppkey * 31 + 17)")} AS site_lat,
           {_lon("(s_suppkey * 31 + 17)")} AS site_lon
         FROM supplier""",
+    # A third of the incidents and more under one area.
+    "busy_incidents": """
+        SELECT lpad(cast(o_orderkey AS {text}), 12, '0') AS incident_id,
+          CASE WHEN o_orderkey % 5 < 2 THEN '07' WHEN o_orderkey % 41 = 0 THEN 'n/a'
+            WHEN o_orderkey % 43 = 0 THEN NULL
+            ELSE lpad(cast((o_custkey % 25) + 1 AS {text}), 2, '0') END AS area_code
+        FROM orders""",
+    # Two depots at every place, for ties.
+    "twin_depots": f"""
+        SELECT s_suppkey AS depot_id, {_lat(PAIR)} AS site_lat, {_lon(PAIR)} AS site_lon
+        FROM supplier""",
+    # A continent's places and a few streets' depots, an ocean apart.
+    "outposts": """
+        SELECT c_custkey AS place_id, -40e0 + 0.0009e0 * ((c_custkey * 7919) % 10007) AS lat,
+          117e0 + 0.0033e0 * ((c_custkey * 104729) % 10009) AS lon
+        FROM customer""",
+    "crowded_depots": """
+        SELECT s_suppkey AS depot_id, 34e0 + 0.000005e0 * ((s_suppkey * 7919) % 10007) AS site_lat,
+          -118.3e0 + 0.000005e0 * ((s_suppkey * 104729) % 10009) AS site_lon
+        FROM supplier""",
 }
 
 TABLES = (

@@ -99,6 +99,45 @@ def test_nearest_reads_the_incidents_once(spark, data, report, module):
     assert text.count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("report", ["nearest_station_by_year", "nearest_station_report"])
+def test_nearest_of_a_key_measures_once(data, report):
+    """No self-join: one pass of the distance, the key cut before its shuffle."""
+    df = getattr(reports, report)(data["incidents"], data["stations"], key=["incident_id"])
+    text = plan(df, run=True)
+    assert len(scans(text, "weapon_code")) <= 2
+    assert text.count("ArrowEvalPython") == 1
+    cut = [line for line in text.splitlines() if "WindowGroupLimit [incident_id" in line]
+    assert [kind for line in cut for kind in ("Partial", "Final") if kind in line] == ["Final", "Partial"]
+
+
+@pytest.mark.parametrize("statement", [sql_reports.FIREARM_NEAREST, sql_reports.WEAPON_NEAREST])
+def test_nearest_in_sql_is_one_statement(spark, data, statement):
+    tables = {"incidents": data["incidents"], "stations": data["stations"]}
+    sql_reports.register_functions(spark)
+    text = plan(spark.sql(statement, **tables), run=True)
+    assert "CROSS" not in statement.upper() and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_victims_are_counted_per_place_before_any_shuffle(spark, data):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (
+            extremes(data),
+            sql_reports.victim_groups_by_income_extremes(
+                spark, data["incidents"], data["geozip"], data["incomes"], 1999
+            ),
+        ):
+            lines = plan(df).splitlines()
+            at = next(i for i, line in enumerate(lines) if "FileScan" in line and "victim_age" in line)
+            above = next(i for i in range(at, 0, -1) if " Exchange " in lines[i])
+            partial = [line for line in lines[above:at] if "HashAggregate" in line]
+            assert len(partial) == 1 and "partial_count" in partial[0]
+            assert all(c in partial[0].split("functions")[0] for c in ("lat", "lon", "descent"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_extremes_read_the_incidents_once(spark, data):
     text = plan(extremes(data), run=True)
     assert len(scans(text, "victim_descent")) == 1
