@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from beatmetrics.functions import columns as fc
 from beatmetrics.functions.distance import with_distance_km
 from beatmetrics.operators import selection
+from beatmetrics.operators.hints import STRATEGIES
 from beatmetrics.operators.nearest import nearest_sites, nearest_sites_per_row
+from beatmetrics.operators.plans import compare_plans
+from beatmetrics.operators.positions import global_positions
 from beatmetrics.plans import reports, sql_reports
 from beatmetrics.sources import readers, schemas, writers
 from beatmetrics.sources.derived import VIEWS, load
@@ -358,6 +361,40 @@ def weapon_nearest_sql(spark, sf):
     )
 
 
+@_query(
+    """SELECT * FROM (VALUES
+      ('broadcast', 'BroadcastHashJoin', 'right', 1::BIGINT), ('merge', 'SortMergeJoin', NULL, 1),
+      ('shuffle_hash', 'ShuffledHashJoin', 'right', 1)) AS t(strategy, node, build, nodes)"""
+)
+def assigned_plans(spark, sf):
+    """The join of the assigned stations under the three hints, read from the plans."""
+    stations = _stations(spark, sf)
+    return compare_plans(
+        spark,
+        {
+            strategy: reports.assigned_station_by_year(
+                _incidents(spark, sf), stations, strategy=strategy
+            )
+            for strategy in STRATEGIES
+        },
+        "Join",
+    )
+
+
+@_query(
+    """SELECT * FROM (VALUES
+      ('broadcast', 'BroadcastHashJoin', 'right', 7::BIGINT), ('merge', 'SortMergeJoin', NULL, 7),
+      ('shuffle_hash', 'ShuffledHashJoin', 'right', 7)) AS t(strategy, node, build, nodes)"""
+)
+def extremes_plans(spark, sf):
+    """The joins of the income report under the three hints, read from the plans."""
+    return compare_plans(
+        spark,
+        {strategy: _extremes(spark, sf, strategy=strategy) for strategy in STRATEGIES},
+        "Join",
+    )
+
+
 # --- Sources and sinks -------------------------------------------------------
 
 
@@ -409,6 +446,28 @@ def csv_source(spark, sf):
     )
 
 
+@_query(
+    """SELECT unnest(['incident_id', 'date_occ', 'weapon_code', 'victim_age', 'no weapon'])
+        AS "column", count(*) AS "rows",
+      unnest([count(*) - count(incident_id), count(*) - count(date_occ),
+        count(*) - count(weapon_code), count(*) - count(victim_age),
+        count(*) - count(weapon_code)]) AS nulls
+      FROM incidents""",
+    ("incidents",),
+)
+def csv_sink_observed(spark, sf):
+    """Counts of what a CSV sink wrote, from the job that wrote it."""
+    incidents = _incidents(spark, sf).select(
+        "incident_id", "date_occ", "weapon_code", "victim_age"
+    )
+    found = writers.write_csv_observed(
+        incidents,
+        scratch_path(spark, "observed"),
+        rejected={"no weapon": F.col("weapon_code").isNull()},
+    )
+    return spark.createDataFrame(found, "column string, rows long, nulls long")
+
+
 @_query(f"WITH {INCOMES_SQL} SELECT zip, community, median_income FROM incomes", ("incomes_raw",))
 def csv_incomes(spark, sf):
     path = scratch_path(spark, "incomes")
@@ -761,6 +820,21 @@ def sorted_position(spark, sf):
     return segments.withColumn("position", F.row_number().over(order))
 
 
+@_query(
+    """SELECT incident_id, row_number() OVER (ORDER BY date_occ, incident_id) AS position,
+      rank() OVER (ORDER BY date_occ DESC) AS newest FROM incidents""",
+    ("incidents",),
+)
+def incident_positions(spark, sf):
+    """Positions and ranks of all incidents, without a task that sees them all."""
+    numbered = global_positions(
+        _incidents(spark, sf).select("incident_id", "date_occ"), ["date_occ", "incident_id"]
+    )
+    return global_positions(
+        numbered, ["date_occ"], descending=("date_occ",), ties="all", name="newest"
+    ).select("incident_id", "position", "newest")
+
+
 PARTIES = """SELECT c_nationkey AS nationkey, c_name AS name FROM customer
 {union} SELECT s_nationkey AS nationkey, s_name AS name FROM supplier"""
 

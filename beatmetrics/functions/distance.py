@@ -179,7 +179,12 @@ def with_distance_km(
     model: str = "geodesic",
     name: str = "distance_km",
 ) -> DataFrame:
-    """Adds the distance of two points as a column."""
+    """Adds the distance of two points as a column; no row leaves the JVM for it."""
+    if model == "geodesic":
+        from beatmetrics.functions.geodesic import with_geodesic_km
+
+        ends = [F.col(c) if isinstance(c, str) else c for c in (lat1, lon1, lat2, lon2)]
+        return with_geodesic_km(df, *ends, name)
     return df.withColumn(name, distance_km(lat1, lon1, lat2, lon2, model))
 
 

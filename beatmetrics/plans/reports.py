@@ -23,6 +23,7 @@ from beatmetrics.functions.columns import (
     is_known,
 )
 from beatmetrics.functions.distance import with_distance_km
+from beatmetrics.functions.sums import exact_mean
 from beatmetrics.operators.hints import with_strategy
 from beatmetrics.operators.nearest import nearest_of_key, nearest_sites, nearest_sites_per_row
 from beatmetrics.operators.selection import bottom_n, keep_members, top_n, top_per_group
@@ -176,12 +177,13 @@ def assigned_station(
 
 
 def mean_distance(pairs: DataFrame, group: str, weight: Column) -> DataFrame:
-    """Mean distance and number of incidents per group."""
-    measured = F.when(F.col("distance_km").isNotNull(), weight)
+    """Mean distance and number of incidents per group.
+
+    The mean is that of exact sums, so that the report is the same for any
+    partitioning of the rows.
+    """
     return pairs.groupBy(group).agg(
-        F.round(
-            F.try_divide(F.sum(F.col("distance_km") * weight), F.sum(measured)), 3
-        ).alias("avg_distance_km"),
+        F.round(exact_mean(F.col("distance_km"), weight), 3).alias("avg_distance_km"),
         F.sum(weight).alias("incidents"),
     )
 
