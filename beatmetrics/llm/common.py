@@ -45,18 +45,28 @@ def ship(spark: SparkSession) -> None:
     context._beatmetrics_shipped = True
 
 
+# A worker keeps its memory between stages, so what it remembers is bounded in bytes:
+# keys up to this length, and as many of them as a limit allows.
+KEY_MAX_BYTES = 64
+
+
 class Memo(dict):
-    """A dict that computes absent values and starts anew when it is full."""
+    """A dict that computes absent values and starts anew when it is full.
+
+    Values of long keys are computed each time and not kept.
+    """
 
-    def __init__(self, compute, limit: int = 500_000):
+    def __init__(self, compute, limit: int = 150_000):
         super().__init__()
         self.compute = compute
         self.limit = limit
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.compute(key)
+        value = self.compute(key)
+        if len(key) <= KEY_MAX_BYTES:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
         return value
 
 

@@ -43,14 +43,14 @@ class WordIds:
     texts with the first two characters of one are given to it whole.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 300_000, most_bytes: int = 16 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         added = self.library.get_added_tokens_decoder().values()
         self.heads = sorted({t.content[:2].encode().lower() for t in added})
-        self.limit = limit
+        self.limit, self.most_bytes = limit, most_bytes
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.reset()
 
@@ -62,8 +62,13 @@ class WordIds:
         self.lengths = np.empty(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.places) > self.limit:
+        """The ids of every text; what is kept until the next call is bounded."""
+        found = self._encode(texts)
+        if len(self.places) > self.limit or self.places.size + self.ids.nbytes > self.most_bytes:
             self.reset()
+        return found
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         find = self.places.__getitem__
         rows, counts, whole = [], [], {}
         for k, text in enumerate(texts):
@@ -102,10 +107,12 @@ class _Places(dict):
     def __init__(self, new: list[bytes]):
         super().__init__()
         self.new = new
+        self.size = 0
 
     def __missing__(self, word: bytes) -> int:
         place = self[word] = len(self)
         self.new.append(word)
+        self.size += len(word)
         return place
 
 
@@ -116,9 +123,17 @@ def encoder(path: str) -> WordIds:
     return _STORES[path]
 
 
-def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
+def slices(
+    batch: pa.RecordBatch, rows: int = 500, most_bytes: int = 8 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch with at most so many rows and, beyond one row, so many bytes."""
+    start = 0
+    while start < batch.num_rows:
+        part = batch.slice(start, rows)
+        while part.num_rows > 1 and part.nbytes > most_bytes:
+            part = part.slice(0, (part.num_rows + 1) // 2)
+        yield part
+        start += part.num_rows
 
 
 def tokenized(df: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
