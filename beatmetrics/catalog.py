@@ -313,6 +313,62 @@ def table_profile(spark, sf):
     return reports.profile(_incidents(spark, sf))
 
 
+# --- Reports over odd values ---------------------------------------------------
+
+
+def _odd(sql: str) -> str:
+    for name in ("incidents", "geozip_raw", "incomes_raw"):
+        odd = "odd_incidents" if name == "incidents" else f"few_{name}"
+        sql = sql.replace(f"FROM {name}", f"FROM {odd}")
+    return sql
+
+
+ODD_EXTREMES_VIEWS = ("odd_incidents", "few_geozip_raw", "few_incomes_raw")
+
+
+@_query(_odd(DAY_SEGMENTS), ("odd_incidents",))
+def day_segments_unknown(spark, sf):
+    """Times that cannot be read, and none at all."""
+    return reports.incidents_by_day_segment(load(spark, sf, "odd_incidents"))
+
+
+@_query(_odd(TOP_MONTHS_RANK), ("odd_incidents",))
+def top_months_undated(spark, sf):
+    """Incidents without a date are a year and a month of their own."""
+    return reports.top_periods(load(spark, sf, "odd_incidents"), 3, "all")
+
+
+@_query(_odd(FIREARM_NEAREST), ("odd_incidents", "stations"))
+def firearm_nearest_repeated_ids(spark, sf):
+    """A number at several places counts at the nearest of them."""
+    return reports.nearest_station_by_year(
+        load(spark, sf, "odd_incidents"), _stations(spark, sf), key=["incident_id"]
+    )
+
+
+def _odd_extremes(spark, sf, **options):
+    geozip = load(spark, sf, "few_geozip_raw").select(
+        "lat", "lon", fc.zip_prefix("zip_raw").alias("zip")
+    )
+    incomes = load(spark, sf, "few_incomes_raw").select(
+        "zip", "community", fc.parse_money("income_raw").alias("median_income")
+    )
+    return reports.victim_groups_by_income_extremes(
+        load(spark, sf, "odd_incidents"), geozip, incomes, REPORT_YEAR, **options
+    )
+
+
+@_query(_odd(EXTREMES_DISTINCT), ODD_EXTREMES_VIEWS)
+def income_extremes_few_zips(spark, sf):
+    """Four ZIP codes, so that some are on both lists, a null income, repeated income rows."""
+    return _odd_extremes(spark, sf)
+
+
+@_query(_odd(EXTREMES_ALL), ODD_EXTREMES_VIEWS)
+def income_extremes_few_zips_unionall(spark, sf):
+    return _odd_extremes(spark, sf, distinct_zips=False)
+
+
 # --- The reports as SQL ------------------------------------------------------
 
 

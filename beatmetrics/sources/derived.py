@@ -89,6 +89,29 @@ VIEWS = {
         FROM supplier""",
 }
 
+# Incidents with repeated numbers, unreadable times and no dates, and places of four ZIP
+# codes, each with several income rows and one without a readable income: what the plain
+# views have none of.
+VIEWS["odd_incidents"] = (
+    VIEWS["incidents"]
+    .replace(
+        "lpad(cast(o_orderkey AS {text}), 12, '0') AS incident_id",
+        "lpad(cast(cast(floor(o_orderkey / 9e0) AS bigint) AS {text}), 12, '0') AS incident_id",
+    )
+    .replace("o_orderdate AS date_occ", "CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END AS date_occ")
+    .replace(
+        "lpad(cast(((o_orderkey * 37)",
+        "CASE WHEN o_orderkey % 17 = 0 THEN 'x9' WHEN o_orderkey % 19 <> 0 THEN lpad(cast(((o_orderkey * 37)",
+    )
+    .replace("AS {text}), 4, '0')\n            AS time_occ", "AS {text}), 4, '0') END\n            AS time_occ")
+)
+VIEWS["few_geozip_raw"] = VIEWS["geozip_raw"].replace("90001 + c_nationkey", "90001 + c_nationkey % 4")
+VIEWS["few_incomes_raw"] = """
+        SELECT cast(90001 + n_nationkey % 4 AS {text}) AS zip, n_name AS community,
+          CASE WHEN n_nationkey % 4 = 2 THEN 'unknown'
+            ELSE concat('$', cast(30 + (n_nationkey % 4) * 10 AS {text}), ',500') END AS income_raw
+        FROM nation"""
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
