@@ -112,10 +112,12 @@ def learning_sample(
     """Ids of up to ``per_class`` rows of each class, the first by a hash of the id.
 
     The classes are counted first, so that a cut of the hash leaves about twice
-    as many rows of each as are wanted, however many there are.
+    as many rows of each as are wanted, however many there are.  More than
+    ``max_classes`` are an error: none is left out in silence.
     """
-    counts = df.groupBy(class_col).count().orderBy(F.desc("count"), class_col)
-    rows = counts.limit(max_classes).collect()
+    rows = df.groupBy(class_col).count().limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} values of {class_col!r}; raise max_classes")
     if not rows:
         return df.select(id_col, class_col).limit(0)
     shares = F.create_map(
@@ -139,11 +141,13 @@ def fit(
     lang_col: str = "lang",
     per_language: int = 800,
     epochs: int = 4,
+    max_languages: int = 500,
 ) -> Model:
     """Learns from the rows with a language and an id.
 
-    At most ``per_language`` rows of each language (and 500 languages) train
-    the weights; document frequencies are counted over all rows.
+    At most ``per_language`` rows of each language train the weights; document
+    frequencies are counted over all rows.  The model holds a weight per gram
+    and language on the driver, so more than ``max_languages`` are an error.
     """
     ship(df.sparkSession)
     rows = df.select(
@@ -169,7 +173,7 @@ def fit(
                 names=["lang", "grams", "shares"],
             )
 
-    chosen = learning_sample(rows, "lang", per_language, "id").select("id")
+    chosen = learning_sample(rows, "lang", per_language, "id", max_languages).select("id")
     sample = (
         # Bounded by the parameters of the sample.
         rows.join(F.broadcast(chosen), "id", "left_semi")
