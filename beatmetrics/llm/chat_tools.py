@@ -124,17 +124,21 @@ def with_position(df: DataFrame) -> DataFrame:
     )
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: Schema) -> DataFrame:
-    """One row per call and per result without a call.
+def link(
+    calls: DataFrame, results: DataFrame, schemas: Schema, others: DataFrame | None = None
+) -> DataFrame:
+    """One row per call, per result without a call, and per other turn.
 
     calls: conv_id, call_id, turn, name, arguments (JSON text), after (ids);
-    results: conv_id, call_id, turn, content.  Returns conv_id, call_id, turn,
+    results: conv_id, call_id, turn, content; others: conv_id, turn.  Returns conv_id, call_id, turn,
     status, level, position, n_calls, n_results, problems, json.
 
     Of calls, and of results, with one id the first by turn counts, the number
     of all is kept.  Status: ``no_id`` (a conversation, call id or turn is
     null: kept as it is, one row each), ``orphan`` (a result without a call),
-    ``cycle``, ``invalid``, ``no_result`` or ``ok``, the first that holds.
+    ``cycle``, ``invalid``, ``no_result`` or ``ok``, the first that holds.  Turns
+    that are neither call nor result, such as a system's, have the status
+    ``other``, so that all calls, results and others are counted in some row.
     Empty tables give no rows; other columns are ignored.
     """
     whole = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull() & F.col("turn").isNotNull()
@@ -157,7 +161,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schema) -> DataFrame:
         )
     )
     ordered = with_position(levels(first_call))
-    joined = ordered.hint("shuffle_hash").join(first_result.hint("shuffle_hash"), key, "full_outer")
+    joined = ordered.join(first_result, key, "full_outer")
     parsed = joined.withColumn("_parsed", F.try_parse_json("arguments"))
     checked = parsed.withColumn(
         "problems",
@@ -190,17 +194,22 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schema) -> DataFrame:
         body.alias("json"),
     )
 
-    def without_id(df: DataFrame, n_calls: int) -> DataFrame:
-        return df.where(~whole).select(
+    def alone(df: DataFrame, status: str, n_calls: int, n_results: int) -> DataFrame:
+        return df.select(
             *key,
             "turn",
-            F.lit("no_id").alias("status"),
+            F.lit(status).alias("status"),
             F.lit(None).cast("int").alias("level"),
             F.lit(None).cast("long").alias("position"),
             F.lit(n_calls).cast("long").alias("n_calls"),
-            F.lit(1 - n_calls).cast("long").alias("n_results"),
+            F.lit(n_results).cast("long").alias("n_results"),
             F.lit(None).cast("array<string>").alias("problems"),
             F.lit(None).cast("string").alias("json"),
         )
 
-    return linked.unionByName(without_id(calls, 1)).unionByName(without_id(results, 0))
+    found = linked.unionByName(alone(calls.where(~whole), "no_id", 1, 0))
+    found = found.unionByName(alone(results.where(~whole), "no_id", 0, 1))
+    if others is None:
+        return found
+    named = others.withColumn("call_id", F.lit(None).cast("string"))
+    return found.unionByName(alone(named, "other", 0, 0))

@@ -167,11 +167,18 @@ def tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """The turns that are neither, such as a system's."""
+    others = conversations.where("role IS NULL OR role NOT IN ('assistant', 'user')")
+    return others.select("conv_id", "turn")
+
+
 @_query
 def op8_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     from beatmetrics.llm.chat_tools import link
 
-    return link(*tool_calls(_table(spark, sf_dir, "conversations")), TOOL_SCHEMAS)
+    conversations = _table(spark, sf_dir, "conversations")
+    return link(*tool_calls(conversations), TOOL_SCHEMAS, other_turns(conversations))
 
 
 @_query
