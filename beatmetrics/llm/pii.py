@@ -376,10 +376,14 @@ def find(
 def redact(df: DataFrame, model: Trees, text_col: str = "text") -> DataFrame:
     """The rows with every span replaced by its kind in brackets; nulls stay null.
 
-    Overlapping spans are replaced together, by the kind of the first.
+    Overlapping spans are replaced together, by the kind of the first.  Other
+    columns are kept as they are, whatever their names.
     """
+    # The caller's columns go by numbers, so that no working name meets them.
+    numbers = [f"c{i}" for i in range(len(df.columns))]
+    own = F.col(f"c{df.columns.index(text_col)}")
     rows = with_spans(
-        df.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))), model, "_text"
+        df.toDF(*numbers).withColumn("_text", F.coalesce(own, F.lit(""))), model, "_text"
     )
     text = F.col("_text")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
@@ -410,5 +414,9 @@ def redact(df: DataFrame, model: Trees, text_col: str = "text") -> DataFrame:
             acc["out"], F.substring(text, acc["at"] + 1, F.greatest(F.char_length(text), F.lit(0)))
         ),
     )
-    clean = F.when(F.size("_spans") == 0, F.col(text_col)).otherwise(done)
-    return rows.withColumn(text_col, clean).select(*df.columns)
+    clean = F.when(F.size("_spans") == 0, own).otherwise(done)
+    columns = [
+        (clean if name == text_col else F.col(n)).alias(name)
+        for n, name in zip(numbers, df.columns, strict=True)
+    ]
+    return rows.select(*columns)

@@ -292,3 +292,59 @@ def test_tool_calls_keep_canonical_json(spark):
         if r.position is not None:
             places[r.conv_id].append((r.position, r.turn))
     assert all(sorted(p)[0][0] == 0 and len({x for x, _ in p}) == len(p) for p in places.values())
+
+
+def test_other_turns_have_rows_of_their_own(spark):
+    """All calls, results and other turns of the table are counted in some row."""
+    from beatmetrics.llm.queries import TOOL_SCHEMAS, other_turns, tool_calls
+
+    roles = ["system", "user", "assistant", None, "tool", "assistant", "user"]
+    rows = [(c, t, r, "text", "own") for c in (1, 2, None) for t, r in enumerate(roles)]
+    rows += [(3, None, "system", None, "own"), (3, 1, "", "", "own")]
+    df = spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text string, call_id string"
+    )
+    found = chat_tools.link(*tool_calls(df), TOOL_SCHEMAS, other_turns(df)).collect()
+    others = [r for r in found if r.status == "other"]
+    assert sorted(str((r.conv_id, r.turn)) for r in others) == sorted(
+        str((c, t)) for c, t, r, *_ in rows if r not in ("user", "assistant")
+    )
+    assert sum(r.n_calls + r.n_results for r in found) + len(others) == len(rows)
+    empty = df.limit(0)
+    assert chat_tools.link(*tool_calls(empty), TOOL_SCHEMAS, other_turns(empty)).collect() == []
+
+
+def personal(n):
+    """Texts with one span of each kind, and decoys."""
+    chance = random.Random(n)
+    digits = lambda k: "".join(chance.choices("0123456789", k=k))
+    for i in range(n):
+        head = "4" + digits(14)
+        card = next(head + c for c in "0123456789" if luhn(head + c))
+        yield (
+            f"write ann{i}@mail{i}.example or 10.{i}.7.{chance.randint(1, 250)} pay {card} "
+            f"call +1 ({digits(3)}) {digits(3)}-{digits(4)} ok {digits(16)}x v{digits(2)}"
+        )
+
+
+def test_redact_keeps_columns_whatever_their_names(spark):
+    names = ["_text", "_base", "_candidates", "c0", "text", "_gaps", "_spans"]
+    data = [(t, "b", "c", "d", t, None, 7) for t in personal(30)] + [("x", "b", "c", "d", None, 1, 7)]
+    df = spark.createDataFrame(data, "_text string, _base string, _candidates string, c0 string, "
+                               "text string, _gaps int, _spans int")
+    model = pii.fit(df.withColumn("doc_id", df["_spans"].cast("long")))
+    clean = pii.redact(df, model)
+    assert clean.columns == names and clean.schema == df.schema
+    got = sorted(clean.collect(), key=str)
+    assert sorted(r["_text"] for r in got) == sorted(d[0] for d in data)
+    for r in got:
+        assert (r["_base"], r["_candidates"], r.c0, r["_spans"]) == ("b", "c", "d", 7)
+        if r.text is None:
+            assert r["_text"] == "x"
+        else:
+            text, out, at = r["_text"], [], 0
+            for s in sorted((int(a), int(b), k) for k, a, b in
+                            (x.split(":") for x in base_spans(text).split(",") if x)):
+                out += [text[at : s[0]], f"[{s[2].upper()}]"]
+                at = s[1]
+            assert r.text == "".join(out) + text[at:]
