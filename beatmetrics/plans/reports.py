@@ -25,7 +25,8 @@ from beatmetrics.functions.columns import (
 from beatmetrics.functions.distance import with_distance_km
 from beatmetrics.functions.sums import exact_mean
 from beatmetrics.operators.hints import with_strategy
-from beatmetrics.operators.nearest import nearest_of_key, nearest_sites, nearest_sites_per_row
+from beatmetrics.operators.nearest import nearest_of_key, nearest_sites
+from beatmetrics.operators.nearest import nearest_sites_per_row  # noqa: F401  for callers
 from beatmetrics.operators.selection import bottom_n, keep_members, top_n, top_per_group
 from beatmetrics.operators.skew import split_join
 
