@@ -22,7 +22,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Empties tables of :func:`written` that no later step reads, to free the shared folder.
+
+    Everything made from them must be written by then: it could not be made anew.
+    """
+    for table in tables:
+        nothing = table.sparkSession.range(0).select("id")
+        nothing.write.mode("overwrite").parquet(table.written_to)
 
 
 def ship(spark: SparkSession) -> None:

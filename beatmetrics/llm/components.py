@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatmetrics.llm.common import written
+from beatmetrics.llm.common import release, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -43,7 +43,9 @@ def components(links: DataFrame) -> DataFrame:
         new = written(small, "links")
         # Both tables hold distinct links.
         if edges.count() == new.count() and edges.exceptAll(new).isEmpty():
+            release(new)
             break
+        release(edges)
         edges = new
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.union(

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatmetrics.llm.common import ship, shingles, written
+from beatmetrics.llm.common import release, ship, shingles, written
 from beatmetrics.llm.components import components
 from beatmetrics.llm.packing import slices
 
@@ -170,7 +170,9 @@ def _index(reps: DataFrame, percent: int) -> DataFrame:
         .select("node", "n", "tokens")
     )
     rare = shared.where(F.col("nodes") <= RARE).select("key", "node", "n")
-    return written(rare.unionByName(_combinations(frequent, percent)), "keys")
+    keys = written(rare.unionByName(_combinations(frequent, percent)), "keys")
+    release(shared)
+    return keys
 
 
 def _rarest_first(
@@ -195,7 +197,9 @@ def _rarest_first(
         .where(F.col("left") > 0)
     )
     keys = prefixes.select(F.explode(F.slice("tokens", 1, "left")).alias("token"), "node", "n")
-    return written(keys.select("token.key", "node", "n"), "keys")
+    keys = written(keys.select("token.key", "node", "n"), "keys")
+    release(sets)
+    return keys
 
 
 def _fits(a: str, b: str, percent: int):
@@ -230,13 +234,15 @@ def _whole_sets(nodes: DataFrame, reps: DataFrame, texts: DataFrame, n_words: in
         .groupBy("node")
         .agg(F.first("hashes").alias("hashes"))
     )
-    return written(sets, "hashes")
+    sets = written(sets, "hashes")
+    release(wanted)
+    return sets
 
 
 def _checked(
     pairs: DataFrame, reps: DataFrame, texts: DataFrame, n_words: int, percent: int
 ) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the threshold."""
+    """The pairs (a, b) of nodes whose sets reach the threshold, written."""
 
     def by_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -267,12 +273,15 @@ def _checked(
     left = written(left, "pairs")
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     sets = _whole_sets(nodes, reps, texts, n_words)
-    return (
+    found = written(
         left.join(ends(sets, "hashes", "b"), "b")
         .join(ends(sets, "hashes", "a"), "a")
         .select("a", "b", "hashes_a", "hashes_b")
-        .mapInArrow(by_set, "a long, b long")
+        .mapInArrow(by_set, "a long, b long"),
+        "links",
     )
+    release(left, sets)
+    return found
 
 
 def _arrays(column: pa.Array) -> list[np.ndarray]:
@@ -298,7 +307,9 @@ def _members(keys: DataFrame, whole: DataFrame, reps: DataFrame) -> DataFrame:
         .select("key", "texts")
     )
     bits = reps.select("node", *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(4)])
-    return written(keyed.join(open_keys, "key").join(bits, "node"), "members")
+    members = written(keyed.join(open_keys, "key").join(bits, "node"), "members")
+    release(keyed)
+    return members
 
 
 def _apart(left: DataFrame, right: DataFrame, ends: str, percent: int) -> DataFrame:
@@ -348,6 +359,8 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
+    rows = written(table.select("doc_id", "n", "sig"), "rows")
+    release(table)
     keys = _index(reps, percent)
 
     heads = keys.groupBy("key").agg(
@@ -366,9 +379,10 @@ def near_duplicates(
         .distinct(),
         "stars",
     )
-    links = written(_checked(first, reps, texts, n_words, percent), "links")
+    links = _checked(first, reps, texts, n_words, percent)
 
     shared = _members(keys, components(links), reps)
+    release(keys)
     crowded = shared.where(F.col("texts") > 2 * HEADS)
     drawn = [
         F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"head{i}")
@@ -399,6 +413,7 @@ def near_duplicates(
     # Keys of one component stay so.
     whole = components(links)
     members = _members(shared.select("key", "node", "n"), whole, reps)
+    release(shared)
     crowd = members.where(F.col("texts") > CROWD).select("node").distinct()
     again = _members(_rarest_first(crowd, reps, texts, n_words, percent), whole, reps)
     tested = first.select("a", "b").union(second.select("a", "b"))
@@ -410,7 +425,9 @@ def near_duplicates(
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
-    more = _checked(written(rest, "rest"), reps, texts, n_words, percent)
+    rest = written(rest, "rest")
+    release(members, again, first, second)
+    more = _checked(rest, reps, texts, n_words, percent)
     whole = components(links.unionByName(more))
 
     named = reps.select("node", "sig", "rep").join(whole, "node", "left")
@@ -418,7 +435,7 @@ def near_duplicates(
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_sig = named.join(least, "component").select("sig", "component_id")
     return (
-        table.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "sig")
+        rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "sig")
         .join(by_sig, "sig", "left")
         .select(
             "doc_id",
