@@ -35,6 +35,8 @@ from beatmetrics.sources.scratch import scratch_path
 FEW = 64
 # Pairs of a round beyond which frequent site cubes are split.
 MANY = 1_000_000
+# Pairs of a round that may be broadcast; a written table tells too little of its rows.
+MOST_BROADCAST = 100_000
 # Edges at the last level are about a metre long.
 LAST_LEVEL = 24
 # Kilometres by which computed distances may be off.
@@ -125,17 +127,22 @@ def refine(
 ) -> DataFrame:
     """The pairs one level below, with bounds; ``kept`` marks those within the cut."""
 
+    # At most one of each level.
+    met = frontier.agg(
+        F.count(F.lit(1)).alias("pairs"), F.collect_set("level").alias("levels")
+    ).first()
+
     def children(cubes: DataFrame, names: list[str], prefix: str) -> DataFrame:
-        return cubes.select(
+        below = cubes.where(F.col("level").isin([level + 1 for level in met.levels])).select(
             (F.col("level") - 1).alias("level"),
             *[F.shiftright(c, 1).alias(c) for c in names],
             *[F.col(c).alias(f"next_{c}") for c in names],
             *[F.col(c).alias(f"{prefix}_{c}") for c in ("n", "lat", "lon", "radius")],
         )
+        return below.hint("merge") if met.pairs > MOST_BROADCAST else below
 
     # The site cubes at the edge of a crowd may be paired with all point cubes.
-    many = frontier.count() > MANY
-    join = split_join if many else DataFrame.join
+    join = split_join if met.pairs > MANY else DataFrame.join
     pairs = (
         join(frontier.select(*FRONTIER), children(site_tree, S_CUBE, "s"), ["level", *S_CUBE])
         .join(children(point_tree, P_CUBE, "p"), ["level", *P_CUBE])
@@ -192,7 +199,7 @@ def settle(
 
 def outermost(seeds: DataFrame) -> DataFrame:
     """The seeds without those whose point cube lies in that of a coarser seed."""
-    cubes = seeds.select("level", *P_CUBE).distinct()
+    cubes = seeds.select("level", *P_CUBE).distinct().hint("merge")
     inside = (
         cubes.where("level > 0")
         .selectExpr("*", "explode(sequence(0, level - 1)) AS outer")
@@ -205,7 +212,7 @@ def outermost(seeds: DataFrame) -> DataFrame:
         .join(cubes, ["level", *P_CUBE], "left_semi")
         .selectExpr("own AS level", *[f"own_{c} AS {c}" for c in P_CUBE])
     )
-    return seeds.join(inside, ["level", *P_CUBE], "left_anti")
+    return seeds.join(inside.hint("merge"), ["level", *P_CUBE], "left_anti")
 
 
 def compared(points: DataFrame, sites: DataFrame, settled: DataFrame) -> DataFrame:
@@ -217,7 +224,10 @@ def compared(points: DataFrame, sites: DataFrame, settled: DataFrame) -> DataFra
     placed_sites = sites.selectExpr("struct(*) AS _site", *last_cube("site_lat", "site_lon"), each)
     return (
         placed_points.selectExpr("_point", "level", *up_to("level", P_CUBE))
-        .join(settled, ["level", *P_CUBE])
-        .join(placed_sites.selectExpr("_site", "level", *up_to("level", S_CUBE)), ["level", *S_CUBE])
+        .join(settled.hint("merge"), ["level", *P_CUBE])
+        .join(
+            placed_sites.selectExpr("_site", "level", *up_to("level", S_CUBE)).hint("merge"),
+            ["level", *S_CUBE],
+        )
         .select("_point.*", "_site")
     )

@@ -30,9 +30,13 @@ from pyspark.sql import functions as F
 from beatmetrics.functions.distance import HAVERSINE_ERROR, distance_km
 from beatmetrics.operators import descent
 from beatmetrics.operators.selection import top_per_group
+from beatmetrics.operators.skew import split_join
 
 # Sites around a cube of the points beyond which they are not compared one by one.
 CROWD = 4 * descent.FEW
+# Rows of the sites' cubes that may be broadcast.  Spark takes them for as many as there are
+# sites, though each stands there once per level, so more of them are joined by sorting.
+MOST_PLACED = 100_000
 
 # A point's own finest cube, and the cube around it on the column "level".
 _OWN = ["_own_x", "_own_y", "_own_z"]
@@ -116,17 +120,18 @@ def _places(sites: DataFrame, finest: int) -> DataFrame:
     )
 
 
-def _around(cubes: DataFrame, places: DataFrame, finest: int, k: int) -> DataFrame:
+def _around(
+    cubes: DataFrame, places: DataFrame, finest: int, k: int, join=DataFrame.join
+) -> DataFrame:
     """For each occupied cube of the points the 27 cubes that hold its k nearest sites."""
     holding = (
         places.select(*_CUBE).distinct()
         if k == 1
         else places.groupBy(*_CUBE).agg(F.count("*").alias("_n")).where(F.col("_n") >= k)
     )
+    outer = cubes.selectExpr(*_OWN, levels(finest)).selectExpr(*_OWN, "_level", *around_own(finest))
     reach = (
-        cubes.selectExpr(*_OWN, levels(finest))
-        .selectExpr(*_OWN, "_level", *around_own(finest))
-        .join(holding.select(*_CUBE), _CUBE)
+        join(outer, holding.select(*_CUBE), _CUBE)
         .groupBy(*_OWN)
         .agg(F.expr("greatest(max(_level) - 1, 0) AS _level"))
     )
@@ -158,7 +163,8 @@ def _crowded_pairs(
     points: DataFrame, sites: DataFrame, crowded: DataFrame, finest: int, k: int, model: str
 ) -> DataFrame:
     """Pairs for the points whose 27 cubes hold many sites, by branch and bound."""
-    cubes = crowded.select(*_OWN).distinct()
+    # A written table of cubes is far smaller than its rows in memory.
+    cubes = crowded.select(*_OWN).distinct().hint("merge")
     far = descent.written(
         points.selectExpr("*", *own_cube("lat", "lon", finest))
         .join(cubes, _OWN, "left_semi")
@@ -223,18 +229,24 @@ def nearest_sites(
     finest = finest_level_for(n_sites) if finest_level is None else finest_level
     cubes = points.selectExpr(*own_cube("lat", "lon", finest)).distinct()
     places = _places(sites, finest)
-    around = _around(cubes, places, finest, k)
+    large = n_sites is None or n_sites * (finest + 1) > MOST_PLACED
+    # All points share the cubes of the first levels.
+    join = split_join if large and n_sites is not None else DataFrame.join
+    if large:
+        places = places.hint("merge")
+    around = _around(cubes, places, finest, k, join)
     crowded = None
     if n_sites is not None and n_sites > CROWD:
         counts = places.groupBy(*_CUBE).agg(F.count("*").alias("_n"))
         total = F.sum("_n").over(Window.partitionBy(*_OWN))
         around = descent.written(
-            around.join(counts, _CUBE).select(*_OWN, *_CUBE, total.alias("_total")), "around"
+            join(around, counts, _CUBE).select(*_OWN, *_CUBE, total.alias("_total")), "around"
         )
         crowded = around.where(F.col("_total") > CROWD)
         around = around.where(F.col("_total") <= CROWD).drop("_total")
+    placed = points.selectExpr("*", *own_cube("lat", "lon", finest))
     pairs = (
-        points.selectExpr("*", *own_cube("lat", "lon", finest))
+        (placed.hint("merge") if large else placed)
         .join(_candidates(around, places, finest, slack(model), k), _OWN)
         .select(*points.columns, "_site")
     )

@@ -153,3 +153,24 @@ def test_keep_nearest_first_keeps_one_row_per_key(spark):
     assert rows == [("x", "a"), ("y", "c")]
     every = sorted((r.id, r.site) for r in keep_nearest(pairs, ["id"]).collect())
     assert every == [("x", "a"), ("x", "b"), ("y", "c")]
+
+
+def test_many_sites_are_not_broadcast(spark):
+    """Each site stands once per level, which the planner does not count."""
+    points, n = city(20), 20_000
+    df = spark.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(points)], "id int, lat double, lon double"
+    )
+    places = spark.range(n).selectExpr(
+        "id AS site",
+        "33.5e0 + 0.0001e0 * ((id * 7919) % 10007) AS site_lat",
+        "-118.8e0 + 0.0001e0 * ((id * 104729) % 10009) AS site_lon",
+    )
+    found = nearest_sites(df, places)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
+    rows = found.collect()
+    sites = [(r.site_lat, r.site_lon) for r in places.collect()]
+    expected = brute_force(points, sites, "geodesic")
+    assert {r.id for r in rows} == set(range(len(points)))
+    for r in rows:
+        assert r.distance_km == pytest.approx(expected[r.id], abs=1e-6)
