@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from beatmetrics.llm import langid, licenses, toxicity
-from beatmetrics.llm.packing import pack
+from beatmetrics.llm.packing import WordIds, pack
 from beatmetrics.llm.queries import tokenizer_path
 from beatmetrics.llm.sentencepiece_bpe import Codec, round_trip
 
@@ -71,6 +71,18 @@ def test_pack_takes_special_tokens_as_the_library_does(spark):
     }
 
 
+def test_word_ids_keep_repeated_words_and_equal_the_library(library):
+    store = WordIds(WORD_BPE, limit=100)
+    rng = np.random.default_rng(5)
+    common = ["".join(rng.choice(list("abcé1'"), 6)) for _ in range(15)]
+    for turn in range(6):
+        texts = [" ".join([*common, f"it's-x{turn}y{i}(z) Q{turn}q{i}"]) for i in range(20)]
+        for text, ids in zip(texts, store.encode(texts), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert {w.encode() for w in common} <= store.places.keys()
+        assert len(store.places) <= store.limit
+
+
 def test_agenda_equals_the_library():
     codec = Codec(PIECES)
     chance = random.Random(1)
