@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatmetrics.llm.common import release, ship, shingles, written
-from beatmetrics.llm.components import components
+from beatmetrics.llm.components import joined
 from beatmetrics.llm.packing import slices
 
 # A shingle in more prefixes than this is frequent; no key of one shingle has more texts.
@@ -223,8 +223,8 @@ def _whole_sets(nodes: DataFrame, reps: DataFrame, texts: DataFrame, n_words: in
                 )
 
     wanted = written(nodes.join(reps.select("node", "sig", "rep"), "node"), "wanted")
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    if ids.count() <= MAX_BROADCAST_IDS:
+    ids = wanted.select(F.col("rep").alias("doc_id"))
+    if wanted.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
     sets = (
         texts.join(ids, "doc_id", "left_semi")
@@ -242,7 +242,10 @@ def _whole_sets(nodes: DataFrame, reps: DataFrame, texts: DataFrame, n_words: in
 def _checked(
     pairs: DataFrame, reps: DataFrame, texts: DataFrame, n_words: int, percent: int
 ) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the threshold, written."""
+    """The pairs (a, b) of nodes whose sets reach the threshold, written.
+
+    Of no pairs, or none whose prefixes may match, nothing more is made.
+    """
 
     def by_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -264,6 +267,8 @@ def _checked(
             F.col("node").alias(end), F.col(column).alias(f"{column}_{end}"), *more
         )
 
+    if pairs.isEmpty():
+        return pairs.select("a", "b").limit(0)  # Rows of no file, as pairs are emptied later.
     left = (
         pairs.join(ends(reps, "prefix", "b"), "b")
         .join(ends(reps, "prefix", "a"), "a")
@@ -271,6 +276,8 @@ def _checked(
         .mapInArrow(by_prefix, "a long, b long")
     )
     left = written(left, "pairs")
+    if left.isEmpty():
+        return left
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     sets = _whole_sets(nodes, reps, texts, n_words)
     found = written(
@@ -381,7 +388,8 @@ def near_duplicates(
     )
     links = _checked(first, reps, texts, n_words, percent)
 
-    shared = _members(keys, components(links), reps)
+    whole = joined(links)
+    shared = _members(keys, whole, reps)
     release(keys)
     crowded = shared.where(F.col("texts") > 2 * HEADS)
     drawn = [
@@ -406,29 +414,35 @@ def near_duplicates(
         .join(first.select("a", "b"), ["a", "b"], "left_anti"),
         "stars",
     )
-    links = written(
-        links.unionByName(_checked(second, reps, texts, n_words, percent)), "links"
-    )
-
-    # Keys of one component stay so.
-    whole = components(links)
-    members = _members(shared.select("key", "node", "n"), whole, reps)
-    release(shared)
-    crowd = members.where(F.col("texts") > CROWD).select("node").distinct()
-    again = _members(_rarest_first(crowd, reps, texts, n_words, percent), whole, reps)
-    tested = first.select("a", "b").union(second.select("a", "b"))
+    found = _checked(second, reps, texts, n_words, percent)
+
+    # Keys of one component stay so; without new links the others stay as they are, too.
+    members = shared
+    if not found.isEmpty():
+        links = written(links.unionByName(found), "links")
+        whole = joined(links)
+        members = _members(shared.select("key", "node", "n"), whole, reps)
+        release(shared)
     few = members.where(F.col("texts") <= CROWD)
+    apart = _apart(few, few, "node_a < node_b", percent)
+    open_tables = [members, first, second]
+    crowd = members.where(F.col("texts") > CROWD).select("node")
+    if not crowd.isEmpty():
+        again = _rarest_first(crowd.distinct(), reps, texts, n_words, percent)
+        again = _members(again, whole, reps)
+        apart = apart.unionByName(_apart(again, again, "node_a < node_b", percent))
+        open_tables.append(again)
+    tested = first.select("a", "b").union(second.select("a", "b"))
     rest = (
-        _apart(few, few, "node_a < node_b", percent)
-        .unionByName(_apart(again, again, "node_a < node_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
+        apart.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
     rest = written(rest, "rest")
-    release(members, again, first, second)
-    more = _checked(rest, reps, texts, n_words, percent)
-    whole = components(links.unionByName(more))
+    release(*open_tables)
+    found = _checked(rest, reps, texts, n_words, percent)
+    if not found.isEmpty():
+        whole = joined(links.unionByName(found))
 
     named = reps.select("node", "sig", "rep").join(whole, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from beatmetrics.llm import chat_tools, pii
-from beatmetrics.llm.components import components
+from beatmetrics.llm.components import components, joined
 from beatmetrics.llm.embedding_dedup import hadamard, near_vectors
 from beatmetrics.llm.fingerprint import edited_likeness
 from beatmetrics.llm.jaccard_join import keep_first, near_duplicates
@@ -124,6 +124,49 @@ def test_components_of_a_path_and_a_star(spark):
     }
 
 
+def jobs_of(spark, name, action):
+    """The action's result and the number of Spark jobs behind it."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return action(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_links_that_are_stars_take_no_round(spark):
+    links = [(1, k) for k in range(2, 9)] + [(20, 10), (30, 10), (10, 30)]
+    df = spark.createDataFrame(links, "a long, b long")
+    rows, jobs = jobs_of(spark, "stars", lambda: joined(df).collect())
+    assert {r.node: r.component for r in rows} == {**{k: 1 for k in range(2, 9)}, 20: 10, 30: 10}
+    assert jobs <= 8
+    assert {r.node for r in components(df).collect()} == {*range(1, 9), 10, 20, 30}
+    for more, least in ([(8, 20)], 1), ([(9, 9)], 1), ([(40, 30), (0, 40)], 0):
+        df = spark.createDataFrame(links + more, "a long, b long")
+        groups = Groups()
+        for a, b in links + more:
+            groups.join(a, b)
+        found = {r.node: r.component for r in components(df).collect()}
+        assert found == {x: groups.find(x) for x in groups.top if x != 9}
+        assert min(found.values()) == least
+
+
+def test_join_skips_steps_without_pairs(spark):
+    """Every job takes driver memory, so what has nothing to compare runs none."""
+    texts = [" ".join(f"w{i}_{k}" for k in range(30)) for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, jobs = jobs_of(spark, "apart", lambda: near_duplicates(df).collect())
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == [
+        (i, 27, i) for i in range(20)
+    ]
+    assert jobs <= 60
+    # Pairs only under a crowded key, links only among few: nothing found in between is needed.
+    near = [" ".join(["p"] * 9 + [f"v{i}_{k}" for k in range(30)]) for i in range(5)]
+    near += [t + " end" for t in near]
+    df = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(df).collect()}
+    assert found == {i: i % 5 for i in range(10)}
+
+
 def test_fingerprints(spark):
     chance = random.Random(9)
     words = [f"w{i}" for i in range(2000)]
